@@ -1,0 +1,85 @@
+"""Column expressions for values that arrive as text."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from veritally.config import Config
+
+# Spark completes '1990' or '2026-09' to a date; those must stay unparsable.
+STARTS_WITH_FULL_DATE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
+
+# The texts the expectation loader reads as missing.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
+def blank(text: Column) -> Column:
+    return F.coalesce(F.trim(text), F.lit("")) == ""
+
+
+def full_match(text: Column, pattern: str) -> Column:
+    """The whole string matches; unlike ``$``, no trailing newline is forgiven."""
+    return text.rlike(rf"\A(?:{pattern})\z")
+
+
+def money(text: Column) -> Column:
+    return text.try_cast("decimal(18,2)")
+
+
+def utc_timestamp(text: Column) -> Column:
+    return F.when(
+        text.rlike(STARTS_WITH_FULL_DATE),
+        F.replace(text, F.lit("Z"), F.lit("")).try_cast("timestamp_ntz"),
+    )
+
+
+def calendar_date(text: Column) -> Column:
+    return F.when(text.rlike(STARTS_WITH_FULL_DATE), text.try_cast("date"))
+
+
+def business_day(ts_utc: Column, cfg: Config) -> Column:
+    return (ts_utc + F.expr(f"INTERVAL '{cfg.offset_minutes}' MINUTE")).cast("date")
+
+
+def number(text: Column) -> Column:
+    """Double or NULL; Java's type suffixes ('5d') are not numbers."""
+    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+
+
+def missing_to_null(text: Column) -> Column:
+    return F.when(~text.isin(MISSING_TEXTS), text)
+
+
+def zero_padded(number_: Column, width: int) -> Column:
+    """At least ``width`` digits; longer numbers are kept whole."""
+    digits = number_.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
+def iso_utc(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def money_text(amount: Column) -> Column:
+    return amount.cast("decimal(18,2)").cast("string")
+
+
+def slug(text: Column) -> Column:
+    letters = F.regexp_replace(F.lower(text), "[^a-z]", "")
+    return F.when(letters == "", F.lit("user")).otherwise(letters)
+
+
+def rotate(choices: list[str], turn: Column) -> Column:
+    """The ``turn``-th choice, starting over after the last."""
+    return F.element_at(F.array(*[F.lit(c) for c in choices]), (turn % len(choices) + 1).cast("int"))
+
+
+def share(part: Column, whole: Column, places: int, empty: float) -> Column:
+    """``part / whole`` rounded half up on the exact fraction, ``empty`` for 0 / 0."""
+    scale = 10**places
+    exact = (part.cast("decimal(20,0)") * (2 * scale) + whole) / (whole.cast("decimal(20,0)") * 2)
+    return F.when(whole == 0, F.lit(empty)).otherwise(F.floor(exact).cast("double") / scale)
