@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -25,12 +24,12 @@ class Config:
     one_task_bytes: int = 256 << 20
 
     @property
-    def cutoff(self) -> Column:
-        return F.lit(self.cutoff_utc).cast("timestamp_ntz")
+    def cutoff(self) -> str:
+        return f"TIMESTAMP_NTZ'{self.cutoff_utc}'"
 
     @property
-    def as_of_date(self) -> Column:
-        return F.lit(self.as_of).cast("date")
+    def as_of_date(self) -> str:
+        return f"DATE'{self.as_of}'"
 
 
 FAULTS = {
@@ -59,8 +58,8 @@ def parse_faults(text: str | None) -> frozenset[str]:
 class Runs:
     """Named fault sets that one plan evaluates side by side.
 
-    A switch is a column: a literal for a single run (Catalyst folds it away), a
-    test of the ``run`` column for several. Rows are fanned out only where a
+    A switch is an SQL condition: a literal for a single run (Catalyst folds it away),
+    a test of the ``run`` column for several. Rows are fanned out only where a
     stage starts to depend on the faults, so scans, the copy ranking and the
     account join are shared by all runs.
     """
@@ -77,12 +76,13 @@ class Runs:
         """The correct pipeline, each fault alone, and all of them together."""
         return cls({"none": (), **{f: (f,) for f in FAULTS}, "all": FAULTS})
 
-    def on(self, fault: str) -> Column:
+    def on(self, fault: str) -> str:
         names = [name for name, ids in self.faults.items() if fault in ids]
         if len(names) in (0, len(self.faults)):
-            return F.lit(bool(names))
-        return F.col("run").isin(names)
+            return "true" if names else "false"
+        return f"run IN ({', '.join(repr(n) for n in names)})"
 
     def fan_out(self, rows: DataFrame) -> DataFrame:
-        names = [F.lit(name) for name in self.faults]
-        return rows.withColumn("run", names[0] if len(names) == 1 else F.explode(F.array(*names)))
+        names = ", ".join(repr(n) for n in self.faults)
+        each = names if len(self.faults) == 1 else f"explode(array({names}))"
+        return rows.selectExpr(f"{each} AS run", "*")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally.config import Config
+from veritally.operators.frames import aggregate
 
 
 def estimated_bytes(rows: DataFrame) -> int:
     return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def mark_copies(rows: DataFrame, key: str, order: list[Column], cfg: Config) -> DataFrame:
+def mark_copies(rows: DataFrame, key: str, order: str, cfg: Config) -> DataFrame:
     """Add ``is_copy``: false for the first row of each key, true for every other.
 
     Keys up to ``cfg.hot_rows`` rows are ranked by one window, one shuffle. A key
@@ -21,33 +22,24 @@ def mark_copies(rows: DataFrame, key: str, order: list[Column], cfg: Config) ->
     no hot key AQE drops that second branch before it scans anything.
     """
     if estimated_bytes(rows) <= cfg.one_task_bytes:
-        return _ranked(rows, [key], order)
-    hot = F.broadcast(
-        rows.groupBy(F.col(key).alias("hot_key"))
-        .agg(F.count("*").alias("hot_n"))
-        .where(F.col("hot_n") > cfg.hot_rows)
-    )
+        return _ranked(rows, key, order)
+    counted = aggregate(rows, [f"{key} AS hot_key"], "count(*) AS hot_n")
+    hot = F.broadcast(counted.where(f"hot_n > {cfg.hot_rows}"))
     is_hot = rows[key].eqNullSafe(hot["hot_key"])
-    cold = _ranked(rows.join(hot, is_hot, "left_anti"), [key], order)
-    lanes = F.ceil(F.col("hot_n") / cfg.hot_rows)
-    hot_rows = rows.join(hot, is_hot, "inner").withColumn(
-        "lane", F.pmod(F.monotonically_increasing_id(), lanes)
-    )
+    cold = _ranked(rows.join(hot, is_hot, "left_anti"), key, order)
+    lanes = f"pmod(monotonically_increasing_id(), CAST(ceil(hot_n / {cfg.hot_rows}) AS BIGINT)) AS lane"
+    in_lanes = _ranked(rows.join(hot, is_hot).selectExpr("*", lanes), f"{key}, lane", order)
     # Winners of all lanes meet in lane -1; the other rows stay spread out.
-    in_lane = F.row_number().over(Window.partitionBy(key, "lane").orderBy(*order))
-    final = _ranked(
-        hot_rows.withColumn("lane", F.when(in_lane == 1, F.lit(-1)).otherwise(F.col("lane"))),
-        [key, "lane"],
-        order,
-    ).withColumn("is_copy", F.col("is_copy") | (F.col("lane") >= 0))
-    return cold.unionByName(final.select(cold.columns))
+    met = in_lanes.selectExpr("* EXCEPT (is_copy, lane)", "if(is_copy, lane, -1L) AS lane")
+    final = _ranked(met, f"{key}, lane", order).selectExpr(
+        "* EXCEPT (is_copy, lane, hot_key, hot_n)", "is_copy OR lane >= 0 AS is_copy")
+    return cold.unionByName(final)
 
 
-def _ranked(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("is_copy", place > 1)
+def _ranked(rows: DataFrame, keys: str, order: str) -> DataFrame:
+    return rows.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) > 1 AS is_copy")
 
 
 def repeated_keys(rows: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once, with ``copies``."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    return aggregate(rows, list(keys), "count(*) AS copies").where("copies > 1")

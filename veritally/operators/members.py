@@ -9,18 +9,17 @@ among the members are ignored.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def member_keys(members: DataFrame, column: str, name: str) -> DataFrame:
-    return members.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
+    return members.where(f"{column} IS NOT NULL").selectExpr(f"{column} AS {name}").distinct()
 
 
 def mark_member(rows: DataFrame, key: str, members: DataFrame, column: str, flag: str) -> DataFrame:
-    known = member_keys(members, column, key).withColumn(flag, F.lit(True))
-    return rows.join(known, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    known = member_keys(members, column, key).selectExpr("*", "true AS is_member")
+    return rows.join(known, key, "left").selectExpr("* EXCEPT (is_member)", f"is_member IS NOT NULL AS {flag}")
 
 
 def orphans(rows: DataFrame, key: str, members: DataFrame, column: str) -> DataFrame:
     known = member_keys(members, column, key)
-    return rows.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    return rows.where(f"{key} IS NOT NULL").join(known, key, "left_anti")

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def first_n(rows: DataFrame, groups: list[str], order: list[str | Column], n: int, rank: str) -> DataFrame:
-    """The first ``n`` rows of each group with their ``rank``.
+def first_n(rows: DataFrame, groups: str, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows of each group with their ``place``.
 
     Spark limits each group inside the map tasks before it shuffles.
     """
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-    return rows.withColumn(rank, place).where(F.col(rank) <= n)
+    ranked = rows.selectExpr("*", f"row_number() OVER (PARTITION BY {groups} ORDER BY {order}) AS place")
+    return ranked.where(f"place <= {n}")
 
 
-def text_list(value: str, rank: str) -> Column:
-    """The values of one already limited group, in rank order."""
-    ranked = F.array_sort(F.collect_list(F.struct(F.col(rank), F.col(value))))
-    return F.transform(ranked, lambda x: x[value])
+def in_place(value: str, wanted: str = "true") -> str:
+    """Aggregate: the wanted values of one already limited group, in order of ``place``."""
+    ranked = f"array_sort(collect_list(CASE WHEN {wanted} THEN struct(place, {value} AS v) END))"
+    return f"transform({ranked}, x -> x.v)"

@@ -9,15 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from veritally.config import Config
-from veritally.functions.columns import missing_to_null, money_text, number, utc_timestamp
+from veritally.functions.expressions import missing_to_null, money_text, number, quoted, utc_timestamp
 from veritally.operators.copies import repeated_keys
+from veritally.operators.frames import aggregate, stacked
 from veritally.operators.members import mark_member
-from veritally.operators.samples import first_n, text_list
-from veritally.sources.extract import Extract, valid_currencies
+from veritally.operators.samples import first_n, in_place
+from veritally.sources.extract import COLUMNS, Extract, valid_currencies
 
 # The five kinds of expectation, patterns, code sets and amount bounds.
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -29,7 +29,7 @@ ACCOUNT_ID = r"^ACC-\d{6}$"
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
 PHONE = r"^[6-9]\d{9}$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-LEAST, MOST = 0.01, 10_000_000.0
+LEAST, MOST = "0.01D", "10000000D"
 
 
 @dataclass(frozen=True)
@@ -38,24 +38,26 @@ class Expectation:
     kind: str
     column: str
     # True where a non-null value is unexpected; unused by the null and unique kinds.
-    unexpected: Callable[[Config], Column] | None = None
-    shown: Callable[[Column], Column] = lambda value: value
+    unexpected: Callable[[Config], str] | None = None
+    # Text of an unexpected value, where the column itself is not text.
+    shown: str | None = None
+
+    def fails(self, cfg: Config) -> str:
+        if self.kind == NOT_NULL:
+            return f"{self.column} IS NULL"
+        return f"{self.column} IS NOT NULL AND {self.unexpected(cfg)}"
 
 
 def matches(suite: str, column: str, pattern: str) -> Expectation:
-    return Expectation(suite, MATCHES, column, lambda cfg: ~F.col(column).rlike(pattern))
+    return Expectation(suite, MATCHES, column, lambda cfg: f"NOT {column} RLIKE r'{pattern}'")
 
 
 def in_set(suite: str, column: str, *values: str) -> Expectation:
-    return Expectation(suite, IN_SET, column, lambda cfg: ~F.col(column).isin(*values))
+    return Expectation(suite, IN_SET, column, lambda cfg: f"{column} NOT IN ({quoted(*values)})")
 
 
 def in_table(suite: str, column: str) -> Expectation:
-    return Expectation(suite, IN_SET, column, lambda cfg: ~F.col(f"{column}_known"))
-
-
-def _after_last_second(cfg: Config) -> Column:
-    return F.col("txn_ts_utc") > cfg.cutoff - F.expr("INTERVAL '1' SECOND")
+    return Expectation(suite, IN_SET, column, lambda cfg: f"NOT {column}_known")
 
 
 EXPECTATIONS = [
@@ -65,12 +67,13 @@ EXPECTATIONS = [
     in_table("transactions", "currency"),
     Expectation("transactions", NOT_NULL, "currency"),
     Expectation("transactions", BETWEEN, "amount_num",
-                lambda cfg: ~F.col("amount_num").between(LEAST, MOST), money_text),
+                lambda cfg: f"NOT amount_num BETWEEN {LEAST} AND {MOST}", money_text("amount_num")),
     in_set("transactions", "direction", "DEBIT", "CREDIT"),
     in_set("transactions", "status", "SUCCESS", "FAILED", "REVERSED"),
     in_set("transactions", "channel", "UPI", "IMPS", "NEFT", "ATM", "POS", "SWIFT"),
-    Expectation("transactions", BETWEEN, "txn_ts_utc", _after_last_second,
-                lambda ts: F.date_format(ts, "yyyy-MM-dd HH:mm:ss")),
+    Expectation("transactions", BETWEEN, "txn_ts_utc",
+                lambda cfg: f"txn_ts_utc > {cfg.cutoff} - INTERVAL '1' SECOND",
+                "date_format(txn_ts_utc, 'yyyy-MM-dd HH:mm:ss')"),
     Expectation("customers", UNIQUE, "customer_id"),
     Expectation("customers", NOT_NULL, "email"),
     Expectation("customers", NOT_NULL, "phone"),
@@ -84,82 +87,62 @@ EXPECTATIONS = [
     in_table("accounts", "branch_code"),
     in_set("accounts", "currency", "INR"),
 ]
-RESULT = ["suite", "expectation", "column", "success", "unexpected_count", "element_count", "sample"]
 
 
-def loaded(raw: Extract, suite: str, cfg: Config) -> DataFrame:
+def loaded(raw: Extract, suite: str) -> DataFrame:
     """A raw table as the expectations see it: NA-like texts are NULL, two typed columns."""
-    rows = raw.tables()[suite]
-    rows = rows.select(*[missing_to_null(F.col(c)).alias(c) for c, t in rows.dtypes if t == "string"])
+    rows = getattr(raw, suite)
+    rows = rows.selectExpr(*[f"{missing_to_null(c)} AS {c}" for c in COLUMNS[suite] if c in rows.columns])
     if suite != "transactions":
         return rows
-    return rows.withColumns({"amount_num": number(F.col("amount")), "txn_ts_utc": utc_timestamp(F.col("txn_ts"))})
+    return rows.selectExpr("*", f"{number('amount')} AS amount_num", f"{utc_timestamp('txn_ts')} AS txn_ts_utc")
 
 
 def evaluate(raw: Extract, suite: str, cfg: Config) -> DataFrame:
     """One result row per expectation of the suite."""
-    rows = loaded(raw, suite, cfg)
+    rows = loaded(raw, suite)
     flagged = rows
     if suite == "transactions":
-        flagged = mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
+        currencies = valid_currencies(raw, cfg.base_currency)
+        flagged = mark_member(rows, "currency", currencies, "currency", "currency_known")
     elif suite == "accounts":
         flagged = mark_member(rows, "branch_code", raw.branches, "branch_code", "branch_code_known")
     chosen = list(enumerate(e for e in EXPECTATIONS if e.suite == suite))
     by_row = [(i, e) for i, e in chosen if e.kind != UNIQUE]
-    repeated = [(i, e) for i, e in chosen if e.kind == UNIQUE]
-
-    counts = flagged.agg(
-        F.count("*").alias("element_count"), *[F.count_if(_fails(e, cfg)).alias(f"n{i}") for i, e in by_row]
-    )
-    rows_of = [
-        F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("unexpected_count")) for i, _ in by_row
-    ]
-    counted = counts.select("element_count", F.inline(F.array(*rows_of)))
-    total = counts.select("element_count")
-    for i, e in repeated:
-        surplus = repeated_keys(rows.where(F.col(e.column).isNotNull()), e.column).agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("unexpected_count"))
-        counted = counted.unionByName(
-            surplus.select(total.scalar().alias("element_count"), F.lit(i).alias("i"), "unexpected_count"))
-
-    names = F.array(*[
-        F.struct(F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column")) for _, e in chosen
-    ])
+    repeated = {
+        i: repeated_keys(rows.where(f"{e.column} IS NOT NULL"), e.column).withColumnRenamed(e.column, "value")
+        for i, e in chosen if e.kind == UNIQUE
+    }
+
+    fails = [f"count_if({e.fails(cfg)}) AS n{i}" for i, e in by_row]
+    totals = aggregate(flagged, [], "count(*) AS element_count", *fails)
+    per_row = ", ".join(f"struct({i} AS i, n{i} AS unexpected_count)" for i, _ in by_row)
+    counted = [totals.selectExpr("inline(array(" + per_row + "))")]
+    for i, values in repeated.items():
+        counted.append(aggregate(values, [], "coalesce(sum(copies), 0) AS unexpected_count").selectExpr(
+            f"{i} AS i", "unexpected_count"))
+    samples = _samples(flagged, by_row, repeated, cfg)
+    names = ", ".join(f"struct('{e.kind}' AS expectation, '{e.column}' AS column)" for _, e in chosen)
+    whole = aggregate(rows, [], "count(*) AS element_count").scalar()
     return (
-        counted.join(_samples(flagged, rows, by_row, repeated, cfg), "i", "left")
-        .withColumn("name", F.element_at(names, F.col("i") + 1))
-        .select(
-            F.lit(suite).alias("suite"), "name.*", (F.col("unexpected_count") == 0).alias("success"),
-            "unexpected_count", "element_count",
-            F.coalesce("sample", F.array().cast("array<string>")).alias("sample"),
-        )
+        stacked(counted).join(samples, "i", "left").withColumn("element_count", whole)
+        .selectExpr("*", f"array({names})[i] AS name")
+        .selectExpr(f"'{suite}' AS suite", "name.expectation", "name.column", "unexpected_count = 0 AS success",
+                    "unexpected_count", "element_count", "coalesce(sample, CAST(array() AS ARRAY<STRING>)) AS sample")
     )
 
 
-def _fails(e: Expectation, cfg: Config) -> Column:
-    if e.kind == NOT_NULL:
-        return F.col(e.column).isNull()
-    return F.col(e.column).isNotNull() & e.unexpected(cfg)
-
-
-def _samples(flagged: DataFrame, rows: DataFrame, by_row: list, repeated: list, cfg: Config) -> DataFrame:
-    shown = F.array_compact(F.array(*[
-        F.when(_fails(e, cfg), F.struct(F.lit(i).alias("i"), e.shown(F.col(e.column)).alias("value")))
+def _samples(flagged: DataFrame, by_row: list, repeated: dict[int, DataFrame], cfg: Config) -> DataFrame:
+    shown = ", ".join(
+        f"if({e.fails(cfg)}, struct({i} AS i, {e.shown or e.column} AS value), NULL)"
         for i, e in by_row if e.kind != NOT_NULL
-    ]))
-    values = flagged.select(F.inline(shown)).withColumn("copies", F.lit(1))
-    for i, e in repeated:
-        again = repeated_keys(rows.where(F.col(e.column).isNotNull()), e.column)
-        values = values.unionByName(
-            again.select(F.lit(i).alias("i"), F.col(e.column).alias("value"), F.least("copies", F.lit(3)).alias("copies")))
-    top = first_n(values, ["i"], ["value"], 3, "place")
-    one_each = top.withColumn("value", F.expr("array_repeat(value, cast(copies as int))"))
-    return one_each.groupBy("i").agg(F.slice(F.flatten(text_list("value", "place")), 1, 3).alias("sample"))
+    )
+    bad = flagged.selectExpr(f"explode(array({shown})) AS bad").where("bad IS NOT NULL")
+    values = [bad.selectExpr("bad.i", "bad.value", "1 AS copies")]
+    values += [again.selectExpr(f"{i} AS i", "value", "CAST(least(copies, 3) AS INT) AS copies") for i, again in repeated.items()]
+    top = first_n(stacked(values), "i", "value", 3).selectExpr("i", "place", "array_repeat(value, copies) AS value")
+    return aggregate(top, ["i"], f"slice(flatten({in_place('value')}), 1, 3) AS sample")
 
 
 def evaluate_all(raw: Extract, cfg: Config) -> DataFrame:
-    suites = list(dict.fromkeys(e.suite for e in EXPECTATIONS))
-    whole = evaluate(raw, suites[0], cfg)
-    for suite in suites[1:]:
-        whole = whole.unionByName(evaluate(raw, suite, cfg))
-    return whole
+    return stacked([evaluate(raw, suite, cfg) for suite in ("transactions", "customers", "accounts")])

@@ -7,13 +7,13 @@ the ledger of the clean rows stays right.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from veritally.config import Config
-from veritally.functions.columns import iso_utc, money_text, rotate, zero_padded
+from veritally.functions.expressions import iso_utc, money_text, quoted, rotate, zero_padded
+from veritally.operators.frames import stacked
 from veritally.sources.extract import COLUMNS, Extract
 
 # The rule each defect breaks.
@@ -29,7 +29,6 @@ PICKS = {
     "DQ-09": (31, 6), "DQ-10": (37, 8), "DQ-11": (17, 4), "DQ-12": (29, 9),
 }
 BAD_CURRENCIES = ["INRR", "usd", "", "RS", "XYZ"]
-MANDATORY = ["email", "phone", "kyc_status"]
 
 
 @dataclass(frozen=True)
@@ -45,115 +44,120 @@ class Defects:
     ledger_shift: str = "12.34"
 
 
-def picked(defect: str, key: Column) -> Column:
+def picked(defect: str, number: str = "n") -> str:
     modulus, remainder = PICKS[defect]
-    return key % modulus == remainder
+    return f"{number} % {modulus} = {remainder}"
 
 
-def key_number(text: str) -> Column:
-    return F.regexp_extract(text, r"(\d+)$", 1).cast("long")
+def key_number(text: str) -> str:
+    return f"CAST(regexp_extract({text}, '[0-9]+$', 0) AS BIGINT)"
 
 
 def bad_transactions(clean: DataFrame, spec: Defects, cfg: Config) -> DataFrame:
-    """Clean rows plus the planted ones, each row with its ``defect_id`` (NULL: clean)."""
-    n = F.col("n")
-
-    def planted(defect: str, **changed: Column) -> Column:
-        values = {c: F.col(c) for c in COLUMNS["transactions"]} | changed
-        row = F.struct(F.lit(defect).alias("defect_id"), *[v.alias(c) for c, v in values.items()])
-        picks = picked(defect, n)
-        return F.when(picks & (F.col("status") == "SUCCESS") if defect == "DQ-01" else picks, row)
-
-    def extra(defect: str, **changed: Column) -> Column:
-        own_id = F.concat(F.lit(f"X{defect[-2:]}"), zero_padded(n, 8))
-        return planted(defect, txn_id=own_id, **{
-            "currency": F.lit("INR"), "status": F.lit("SUCCESS"), **changed})
-
-    incident = F.lit(spec.incident_utc).cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(n % spec.incident_seconds).cast("decimal(18,6)"))
-    late = cfg.cutoff + F.make_dt_interval(hours=(F.lit(1) + n % spec.late_hours).cast("int"))
-    bad_code = rotate(BAD_CURRENCIES, F.expr(f"n div {PICKS['DQ-03'][0]}"))
-    rows = F.array(
-        F.struct(F.lit(None).cast("string").alias("defect_id"), *COLUMNS["transactions"]),
-        planted("DQ-01"),
-        extra("DQ-03", currency=F.nullif(bad_code, F.lit("")), txn_ts=iso_utc(incident)),
-        extra("DQ-04", amount=F.when(n % 2 == 0, "0.00").otherwise(F.concat(F.lit("-"), "amount"))),
-        extra("DQ-05", account_id=F.concat(F.lit("ACC-9"), zero_padded(n % 100000, 5))),
-        extra("DQ-06", txn_ts=iso_utc(late)),
+    """Clean rows plus the planted ones, each row with its ``defect_id`` (NULL: clean).
+
+    One scan: a row is repeated for every defect it seeds, then changed in place.
+    """
+    seeds = {"'clean'": "true", "'DQ-01'": f"{picked('DQ-01')} AND status = 'SUCCESS'"}
+    seeds |= {f"'{d}'": picked(d) for d in ("DQ-03", "DQ-04", "DQ-05", "DQ-06")}
+    seeded = ", ".join(f"if({test}, {defect}, NULL)" for defect, test in seeds.items())
+    rows = (
+        clean.selectExpr("*", f"{key_number('txn_id')} AS n")
+        .selectExpr("*", f"explode(array({seeded})) AS seed")
+        .where("seed IS NOT NULL")
     )
-    numbered = clean.withColumn("n", key_number("txn_id"))
-    return numbered.select(F.explode(F.array_compact(rows)).alias("row")).select("row.*")
+    extra = "seed NOT IN ('clean', 'DQ-01')"
+    code = rotate(BAD_CURRENCIES, f"(n div {PICKS['DQ-03'][0]})")
+    incident = f"TIMESTAMP_NTZ'{spec.incident_utc}' + make_dt_interval(0, 0, 0, n % {spec.incident_seconds})"
+    late = f"TIMESTAMP_NTZ'{cfg.cutoff_utc}' + make_dt_interval(0, CAST(1 + n % {spec.late_hours} AS INT))"
+    changed = {
+        "txn_id": f"if({extra}, concat('X', right(seed, 2), {zero_padded('n', 8)}), txn_id)",
+        "account_id": f"if(seed = 'DQ-05', concat('ACC-9', {zero_padded('n % 100000', 5)}), account_id)",
+        "txn_ts": f"CASE seed WHEN 'DQ-03' THEN {iso_utc(incident)} WHEN 'DQ-06' THEN {iso_utc(late)} ELSE txn_ts END",
+        "amount": "CASE WHEN seed <> 'DQ-04' THEN amount WHEN n % 2 = 0 THEN '0.00' ELSE concat('-', amount) END",
+        "currency": f"CASE WHEN seed = 'DQ-03' THEN nullif({code}, '') WHEN {extra} THEN 'INR' ELSE currency END",
+        "status": f"if({extra}, 'SUCCESS', status)",
+    }
+    return rows.selectExpr(
+        "nullif(seed, 'clean') AS defect_id",
+        *[f"{changed.get(c, c)} AS {c}" for c in COLUMNS["transactions"]],
+    )
+
+
+def _replaced(columns: list[str], changed: dict[str, str], carried: dict[str, str]) -> list[str]:
+    tests = ", ".join(f"if({test}, '{defect}', NULL)" for defect, test in carried.items())
+    return [f"{changed.get(c, c)} AS {c}" for c in columns] + [f"array_compact(array({tests})) AS defects"]
 
 
 def bad_customers(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataFrame:
     """Customers with planted values and the ``defects`` each one carries."""
-    n = F.col("n")
     holders = accounts.where("account_type = 'CURRENT'").select("customer_id").distinct()
-    rows = clean.join(holders.withColumn("holder", F.lit(True)), "customer_id", "left")
-    rows = rows.withColumn("n", key_number("customer_id"))
-    lacks, minor = picked("DQ-02", n), picked("DQ-11", n) & F.col("holder") & ~picked("DQ-02", n)
-    slot = F.expr(f"n div {PICKS['DQ-02'][0]}") % len(MANDATORY)
-    values = {c: F.when(lacks & (slot == i), None).otherwise(F.col(c)) for i, c in enumerate(MANDATORY)}
-    values["email"] = F.when(picked("DQ-07", n), F.concat(F.lit("user"), n, F.lit("@"))).otherwise(values["email"])
-    values["phone"] = F.when(picked("DQ-08", n), spec.bad_phone).otherwise(values["phone"])
-    values["date_of_birth"] = F.when(minor, spec.minor_born).otherwise(F.col("date_of_birth"))
-    tests = {"DQ-02": lacks, "DQ-07": picked("DQ-07", n), "DQ-08": picked("DQ-08", n), "DQ-11": minor}
-    return rows.withColumn("defects", _carried(tests)).withColumns(values).drop("n", "holder")
+    rows = clean.join(holders.selectExpr("*", "true AS holder"), "customer_id", "left")
+    lacks, slot = picked("DQ-02"), f"n div {PICKS['DQ-02'][0]} % 3"
+    minor = f"{picked('DQ-11')} AND holder IS NOT NULL AND NOT {lacks}"
+    changed = {
+        "email": f"CASE WHEN {picked('DQ-07')} THEN concat('user', n, '@') WHEN {lacks} AND {slot} = 0 THEN NULL ELSE email END",
+        "phone": f"CASE WHEN {picked('DQ-08')} THEN '{spec.bad_phone}' WHEN {lacks} AND {slot} = 1 THEN NULL ELSE phone END",
+        "kyc_status": f"if({lacks} AND {slot} = 2, NULL, kyc_status)",
+        "date_of_birth": f"if({minor}, '{spec.minor_born}', date_of_birth)",
+    }
+    carried = {"DQ-02": lacks, "DQ-07": picked("DQ-07"), "DQ-08": picked("DQ-08"), "DQ-11": minor}
+    numbered = rows.selectExpr("*", f"{key_number('customer_id')} AS n")
+    return numbered.selectExpr(*_replaced(clean.columns, changed, carried))
 
 
 def bad_accounts(clean: DataFrame, transactions: DataFrame, spec: Defects) -> DataFrame:
     """Some accounts in use point to a branch nobody knows."""
-    n = key_number("account_id")
-    used = transactions.where(picked("DQ-12", n)).select("account_id").distinct()
-    rows = clean.join(used.withColumn("in_use", F.lit(True)), "account_id", "left")
-    hit = F.coalesce("in_use", F.lit(False)) & picked("DQ-12", n)
-    return (
-        rows.withColumn("defects", _carried({"DQ-12": hit}))
-        .withColumn("branch_code", F.when(hit, spec.unknown_branch).otherwise(F.col("branch_code")))
-        .drop("in_use")
-    )
+    number = key_number("account_id")
+    used = transactions.select("account_id").where(picked("DQ-12", number)).distinct()
+    rows = clean.join(used.selectExpr("*", "true AS in_use"), "account_id", "left")
+    changed = {"branch_code": f"if(in_use, '{spec.unknown_branch}', branch_code)"}
+    return rows.selectExpr(*_replaced(clean.columns, changed, {"DQ-12": "in_use"}))
 
 
 def bad_closing(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataFrame:
     """Negative savings balances, and balances shifted upwards (never below zero)."""
-    n = F.col("n")
     savings = accounts.where("account_type = 'SAVINGS'").select("account_id").distinct()
-    rows = clean.join(savings.withColumn("savings", F.lit(True)), "account_id", "left")
-    rows = rows.withColumn("n", key_number("account_id"))
-    negative = picked("DQ-09", n) & F.coalesce("savings", F.lit(False))
-    shifted = picked("DQ-10", n) & ~picked("DQ-09", n)
-    closing = F.col("closing_balance").cast("decimal(18,2)")
-    value = (
-        F.when(negative, money_text(-(n + 100)))
-        .when(shifted, money_text(closing + F.lit(spec.ledger_shift).cast("decimal(18,2)")))
-        .otherwise(F.col("closing_balance"))
-    )
-    return (
-        rows.withColumn("defects", _carried({"DQ-09": negative, "DQ-10": shifted}))
-        .withColumn("closing_balance", value)
-        .drop("n", "savings")
-    )
-
-
-def _carried(tests: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(hit, F.lit(defect)) for defect, hit in tests.items()]))
+    rows = clean.join(savings.selectExpr("*", "true AS savings"), "account_id", "left")
+    negative = f"{picked('DQ-09')} AND savings IS NOT NULL"
+    shifted = f"{picked('DQ-10')} AND NOT {picked('DQ-09')}"
+    moved = f"CAST(closing_balance AS DECIMAL(18, 2)) + {spec.ledger_shift}"
+    changed = {"closing_balance": f"CASE WHEN {negative} THEN {money_text('-(n + 100)')} "
+                                  f"WHEN {shifted} THEN {money_text(moved)} ELSE closing_balance END"}
+    numbered = rows.selectExpr("*", f"{key_number('account_id')} AS n")
+    return numbered.selectExpr(*_replaced(clean.columns, changed, {"DQ-09": negative, "DQ-10": shifted}))
+
+
+class Planted:
+    """A clean extract with defects: the ``dirty`` extract and its manifest."""
+
+    def __init__(self, clean: Extract, cfg: Config, spec: Defects = Defects()):
+        self.tagged = Extract(
+            transactions=lambda: bad_transactions(clean.transactions, spec, cfg),
+            customers=lambda: bad_customers(clean.customers, clean.accounts, spec),
+            accounts=lambda: bad_accounts(clean.accounts, clean.transactions, spec),
+            closing_balances=lambda: bad_closing(clean.closing_balances, clean.accounts, spec),
+        )
+        self.dirty = Extract(
+            branches=lambda: clean.branches,
+            fx_rates=lambda: clean.fx_rates,
+            transactions=lambda: self.tagged.transactions.drop("defect_id"),
+            customers=lambda: self.tagged.customers.drop("defects"),
+            accounts=lambda: self.tagged.accounts.drop("defects"),
+            closing_balances=lambda: self.tagged.closing_balances.drop("defects"),
+        )
+
+    def manifest(self) -> DataFrame:
+        """One row (defect_id, rule_id, key) per planted key."""
+        planted = self.tagged.transactions.where("defect_id IS NOT NULL")
+        parts = [planted.selectExpr("defect_id", "txn_id AS key")]
+        for rows, key in ((self.tagged.customers, "customer_id"), (self.tagged.accounts, "account_id"),
+                          (self.tagged.closing_balances, "account_id")):
+            parts.append(rows.selectExpr("explode(defects) AS defect_id", f"{key} AS key"))
+        rules = ", ".join(f"{quoted(d)}, {quoted(r)}" for d, r in DEFECT_RULES.items())
+        return stacked(parts).distinct().selectExpr("defect_id", f"map({rules})[defect_id] AS rule_id", "key")
 
 
 def inject_defects(clean: Extract, cfg: Config, spec: Defects = Defects()) -> tuple[Extract, DataFrame]:
-    """The dirty extract and its manifest, one row (defect_id, rule_id, key) per planted key."""
-    transactions = bad_transactions(clean.transactions, spec, cfg)
-    customers = bad_customers(clean.customers, clean.accounts, spec)
-    accounts = bad_accounts(clean.accounts, clean.transactions, spec)
-    closing = bad_closing(clean.closing_balances, clean.accounts, spec)
-    dirty = replace(
-        clean,
-        transactions=transactions.drop("defect_id"),
-        customers=customers.drop("defects").select(clean.customers.columns),
-        accounts=accounts.drop("defects").select(clean.accounts.columns),
-        closing_balances=closing.drop("defects").select(clean.closing_balances.columns),
-    )
-    keyed = transactions.where("defect_id IS NOT NULL").select("defect_id", F.col("txn_id").alias("key"))
-    for rows, key in ((customers, "customer_id"), (accounts, "account_id"), (closing, "account_id")):
-        keyed = keyed.unionByName(rows.select(F.explode("defects").alias("defect_id"), F.col(key).alias("key")))
-    rule = F.element_at(F.create_map(*[F.lit(x) for pair in DEFECT_RULES.items() for x in pair]), F.col("defect_id"))
-    return dirty, keyed.distinct().select("defect_id", rule.alias("rule_id"), "key")
+    planted = Planted(clean, cfg, spec)
+    return planted.dirty, planted.manifest()

@@ -5,31 +5,28 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veritally.config import Config, Runs
-from veritally.plans import pipeline
-from veritally.plans.reconcile import Source, check_results
+from veritally.operators.frames import aggregate, stacked
+from veritally.plans.pipeline import Pipeline
+from veritally.plans.reconcile import Checks, Source
 from veritally.sources.extract import Extract
 
 
 def check_matrix(extracts: Mapping[str, Extract], cfg: Config, runs: Runs | None = None) -> DataFrame:
     """(extract, run, check_id, passed, mismatches); the runs share one plan per extract."""
     runs = runs or Runs.matrix()
-    whole = None
-    for name, raw in extracts.items():
-        results = check_results(Source.of(raw, cfg), pipeline.build(raw, cfg, runs), runs)
-        rows = results.select(F.lit(name).alias("extract"), "run", "check_id", "passed", "mismatches")
-        whole = rows if whole is None else whole.unionByName(rows)
-    return whole
+    return stacked([
+        Checks(Source(raw, cfg), Pipeline(raw, cfg, runs)).results()
+        .selectExpr(f"'{name}' AS extract", "run", "check_id", "passed", "mismatches")
+        for name, raw in extracts.items()
+    ])
 
 
 def verdicts(matrix: DataFrame) -> DataFrame:
     """PASS or FALSE ALARM for the correct pipeline, CAUGHT or ESCAPED for a fault."""
-    failing = F.array_sort(F.collect_set(F.when(~F.col("passed"), F.concat_ws(":", "extract", "check_id"))))
-    caught = F.size("failing") > 0
-    return (
-        matrix.groupBy("run").agg(failing.alias("failing"))
-        .withColumn("verdict", F.when(F.col("run") == "none", F.when(caught, "FALSE ALARM").otherwise("PASS"))
-                    .otherwise(F.when(caught, "CAUGHT").otherwise("ESCAPED")))
-    )
+    failing = "array_sort(collect_set(CASE WHEN NOT passed THEN concat(extract, ':', check_id) END))"
+    return aggregate(matrix, ["run"], f"{failing} AS failing").selectExpr(
+        "run", "failing",
+        "CASE WHEN run = 'none' THEN if(size(failing) > 0, 'FALSE ALARM', 'PASS') "
+        "ELSE if(size(failing) > 0, 'CAUGHT', 'ESCAPED') END AS verdict")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from veritally.operators.copies import repeated_keys
-from veritally.operators.members import member_keys, orphans
+from veritally.operators.frames import aggregate, stacked
+from veritally.operators.members import mark_member, orphans
 from veritally.plans.rules import EMAIL
 from veritally.sources.driver_tables import table
 
@@ -28,10 +28,9 @@ def duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shipped_before_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    return lines.join(orders, "l_orderkey").where("l_shipdate < o_orderdate").select(
-        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_date"),
-        F.to_date("o_orderdate").alias("order_date"))
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_orderdate")
+    return lines.join(orders, "l_orderkey").where("l_shipdate < o_orderdate").selectExpr(
+        "l_orderkey", "l_linenumber", "CAST(l_shipdate AS DATE) AS ship_date", "CAST(o_orderdate AS DATE) AS order_date")
 
 
 def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,45 +39,42 @@ def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def negative_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    return customer.where("c_acctbal < 0").select(
-        F.lit("customer").alias("tbl"), F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance")
-    ).unionAll(supplier.where("s_acctbal < 0").select(F.lit("supplier"), "s_suppkey", "s_acctbal"))
+    return stacked([
+        table(spark, sf_dir, name).where(f"{p}_acctbal < 0").selectExpr(
+            f"'{name}' AS tbl", f"{key} AS key", f"{p}_acctbal AS balance")
+        for name, p, key in (("customer", "c", "c_custkey"), ("supplier", "s", "s_suppkey"))
+    ])
 
 
 def order_total_vs_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("line_total"))
-    totals = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("order_total"))
-    return totals.join(lines, "o_orderkey", "left").where(~F.col("order_total").eqNullSafe(F.col("line_total")))
+    lines = aggregate(table(spark, sf_dir, "lineitem"), ["l_orderkey AS o_orderkey"],
+                      "sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS line_total")
+    totals = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CAST(o_totalprice AS DECIMAL(18, 2)) AS order_total")
+    return totals.join(lines, "o_orderkey", "left").where("NOT order_total <=> line_total")
 
 
 def orphan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and orphan rows per reference; children are counted per key before they join."""
-    whole = None
+    parts = []
     for child, column, parent, key in REFERENCES:
-        per_key = table(spark, sf_dir, child).groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n"))
-        known = member_keys(table(spark, sf_dir, parent), key, "key").withColumn("known", F.lit(True))
-        lost = F.col("key").isNotNull() & F.col("known").isNull()
-        counted = per_key.join(known, "key", "left").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("orphans"))
-        named = counted.select(F.lit(f"{child}.{column} -> {parent}.{key}").alias("reference"), "rows", "orphans")
-        whole = named if whole is None else whole.unionByName(named)
-    return whole
+        per_key = aggregate(table(spark, sf_dir, child), [f"{column} AS key"], "count(*) AS n")
+        marked = mark_member(per_key, "key", table(spark, sf_dir, parent), key, "known")
+        lost = "CASE WHEN key IS NOT NULL AND NOT known THEN n END"
+        totals = aggregate(marked, [], "coalesce(sum(n), 0) AS rows", f"coalesce(sum({lost}), 0) AS orphans")
+        parts.append(totals.selectExpr(f"'{child}.{column} -> {parent}.{key}' AS reference", "rows", "orphans"))
+    return stacked(parts)
 
 
 def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that occur more than once; only their digests are shuffled."""
-    digests = table(spark, sf_dir, "documents").select(F.md5("text").alias("text_md5"))
-    return repeated_keys(digests, "text_md5")
+    return repeated_keys(table(spark, sf_dir, "documents").selectExpr("md5(text) AS text_md5"), "text_md5")
 
 
 def wrong_document_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "n_chars", F.length("text").cast("long").alias("actual")).where("n_chars <> actual")
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "n_chars", "CAST(length(text) AS BIGINT) AS actual").where("n_chars <> actual")
 
 
 def documents_with_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(F.col("text").rlike(EMAIL)).select("doc_id", "source")
+    return table(spark, sf_dir, "documents").where(f"text RLIKE r'{EMAIL}'").select("doc_id", "source")

@@ -1,163 +1,140 @@
 """The quarantine ETL: every raw row is staged or rejected with a reason, then reported.
 
-Written in the DataFrame API and shares nothing with :mod:`veritally.plans.oracle`.
+Shares nothing with :mod:`veritally.plans.oracle`, which recomputes the same figures.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, fields
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from veritally.config import Config, Runs
-from veritally.functions.columns import business_day, calendar_date, money, utc_timestamp
+from veritally.functions.expressions import NET, business_day, calendar_date, money, total, utc_timestamp
 from veritally.operators.copies import mark_copies
+from veritally.operators.frames import aggregate, zero_if_null
 from veritally.operators.members import mark_member
 from veritally.sources.extract import Extract, copy_order, valid_currencies
 
+# Columns of the written tables.
 QUARANTINE_COLUMNS = ["txn_id", "account_id", "txn_ts", "amount", "currency", "direction", "channel",
                       "status", "reject_reason"]
 STAGING_COLUMNS = ["txn_id", "account_id", "branch_code", "branch_name", "ist_date", "direction",
                    "channel", "status", "currency", "amount", "inr_amount"]
 
+BAD_AMOUNT = "(amt IS NULL OR amt <= 0)"
 
-@dataclass(frozen=True)
-class PipelineTables:
-    classified: DataFrame
-    quarantine: DataFrame
-    staging: DataFrame
-    daily: DataFrame
-    balances: DataFrame
 
+class Pipeline:
+    """The stages of one or several runs; each row carries the name of its ``run``.
 
-def run(raw: Extract, cfg: Config, faults: Iterable[str] = ()) -> PipelineTables:
-    built = build(raw, cfg, Runs.single(faults))
-    return PipelineTables(**{f.name: getattr(built, f.name).drop("run") for f in fields(built)})
-
-
-def build(raw: Extract, cfg: Config, runs: Runs) -> PipelineTables:
-    """All tables for every run, each row carrying the name of its ``run``."""
-    checked = _checked(raw, cfg)
-    classified = _classified(checked, raw, cfg, runs)
-    staging = _staged(checked, raw, cfg, runs)
-    return PipelineTables(
-        classified=classified,
-        quarantine=quarantined(classified),
-        staging=staging,
-        daily=daily_summary(staging, runs),
-        balances=account_balances(staging, raw, runs),
-    )
-
-
-def _checked(raw: Extract, cfg: Config) -> DataFrame:
-    """Raw rows with typed values, copies marked, and the currency looked up."""
-    rows = raw.transactions.withColumn("ts_utc", utc_timestamp(F.col("txn_ts")))
-    order = copy_order(raw.transactions, F.col("ts_utc"), cfg.arrival)
-    rows = mark_copies(rows, "txn_id", order, cfg).withColumn("amt", money(F.col("amount")))
-    return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
-
-
-def _bad_amount() -> Column:
-    return F.col("amt").isNull() | (F.col("amt") <= 0)
-
-
-def _bad_time(cfg: Config) -> Column:
-    return F.col("ts_utc").isNull() | (F.col("ts_utc") >= cfg.cutoff)
-
-
-def _report_day(cfg: Config, runs: Runs) -> Column:
-    utc_day = F.col("ts_utc").cast("date")
-    return F.when(runs.on("PIPE-03"), utc_day).otherwise(business_day(F.col("ts_utc"), cfg))
-
-
-def _classified(checked: DataFrame, raw: Extract, cfg: Config, runs: Runs) -> DataFrame:
-    rows = mark_member(checked, "account_id", raw.accounts, "account_id", "account_known")
-    reason = (
-        F.when(F.col("is_copy") & ~runs.on("PIPE-01"), "DUPLICATE")
-        .when(~F.col("currency_known"), "INVALID_CURRENCY")
-        .when(_bad_amount(), "NON_POSITIVE_AMOUNT")
-        .when(F.col("account_id").isNotNull() & ~F.col("account_known"), "UNKNOWN_ACCOUNT")
-        .when(_bad_time(cfg), "FUTURE_DATED")
-    )
-    return (
-        runs.fan_out(rows)
-        .withColumns({"reject_reason": reason, "ist_date": _report_day(cfg, runs)})
-        .select("run", *raw.transactions.columns, "amt", "ts_utc", "is_copy", "reject_reason", "ist_date")
-    )
-
-
-def quarantined(classified: DataFrame) -> DataFrame:
-    return classified.where("reject_reason IS NOT NULL").select("run", *QUARANTINE_COLUMNS)
-
-
-def _staged(checked: DataFrame, raw: Extract, cfg: Config, runs: Runs) -> DataFrame:
-    """Accepted rows with branch, day and converted amount.
-
-    The inner join to accounts is itself the account test, so staging needs no
-    membership flag; fanning out the runs waits until after that join.
+    A stage is built when it is first asked for. A job that has written one may set
+    the attribute to the written table, and later stages start from there.
     """
-    accounts = raw.accounts.select("account_id", "branch_code")
-    branches = raw.branches.select("branch_code", "branch_name", F.lit(True).alias("branch_known"))
-    rows = checked.where(F.col("currency_known") & ~_bad_amount() & ~_bad_time(cfg))
-    rows = rows.join(accounts, "account_id").join(branches, "branch_code", "left")
-    rows = runs.fan_out(rows).where(
-        (~F.col("is_copy") | runs.on("PIPE-01")) & (F.col("branch_known") | ~runs.on("PIPE-04"))
-    )
-    amount = F.when(runs.on("PIPE-06"), F.floor("amt").cast("decimal(18,2)")).otherwise(F.col("amt"))
-    rows = rows.withColumns({"ist_date": _report_day(cfg, runs), "amount": amount})
-    rates = raw.fx_rates.select(
-        F.col("currency").alias("fx_currency"),
-        calendar_date(F.col("rate_date")).alias("fx_date"),
-        F.col("inr_rate").cast("decimal(12,4)").alias("rate"),
-    )
-    newest = calendar_date(raw.fx_rates.select(F.max("rate_date")).scalar())
-    priced_on = F.when(runs.on("PIPE-02"), newest).otherwise(F.col("ist_date"))
-    rows = rows.withColumn("priced_on", priced_on).join(
-        rates, (F.col("currency") == F.col("fx_currency")) & (F.col("priced_on") == F.col("fx_date")), "left"
-    )
-    converted = F.round(F.col("amount") * F.col("rate"), 2)
-    base = F.col("currency") == cfg.base_currency
-    return rows.withColumn(
-        "inr_amount", F.when(base, F.col("amount")).otherwise(converted).cast("decimal(28,2)")
-    ).select("run", *STAGING_COLUMNS)
-
-
-def _counted(staging: DataFrame, runs: Runs) -> DataFrame:
-    return staging.where((F.col("status") == "SUCCESS") | runs.on("PIPE-05"))
-
-
-def _total(direction: str) -> Column:
-    return F.sum(F.when(F.col("direction") == direction, F.col("inr_amount")).otherwise(0))
-
-
-def daily_summary(staging: DataFrame, runs: Runs) -> DataFrame:
-    credit = F.col("direction") == "CREDIT"
-    net = F.when(credit, F.col("inr_amount")).otherwise(-F.col("inr_amount"))
-    return _counted(staging, runs).groupBy("run", F.col("ist_date").alias("report_date"), "branch_code").agg(
-        F.count("*").alias("txn_count"),
-        _total("CREDIT").alias("credit_inr"),
-        _total("DEBIT").alias("debit_inr"),
-        F.sum(net).alias("net_inr"),
-    )
-
-
-def account_balances(staging: DataFrame, raw: Extract, runs: Runs) -> DataFrame:
-    net = _counted(staging, runs).groupBy("run", "account_id").agg(
-        _total("CREDIT").alias("credits"), _total("DEBIT").alias("debits")
-    )
-    ledger = raw.closing_balances.select(
-        "account_id", F.col("closing_balance").cast("decimal(18,2)").alias("source_closing")
-    )
-    accounts = raw.accounts.select("account_id", F.col("opening_balance").cast("decimal(18,2)").alias("opening"))
-    zero = F.lit(0)
-    return (
-        runs.fan_out(accounts.join(ledger, "account_id", "left"))
-        .join(net, ["run", "account_id"], "left")
-        .withColumns({"credits": F.coalesce("credits", zero), "debits": F.coalesce("debits", zero)})
-        .withColumn("computed_closing", F.col("opening") + F.col("credits") - F.col("debits"))
-        .withColumn("difference", F.col("source_closing") - F.col("computed_closing"))
-        .select("run", "account_id", "opening", "credits", "debits", "computed_closing", "source_closing",
-                "difference")
-    )
+
+    def __init__(self, raw: Extract, cfg: Config, runs: Runs):
+        self.raw, self.cfg, self.runs = raw, cfg, runs
+
+    @cached_property
+    def checked(self) -> DataFrame:
+        """Raw rows with typed values, copies marked, and the currency looked up."""
+        raw, cfg = self.raw, self.cfg
+        rows = raw.transactions.selectExpr("*", f"{utc_timestamp('txn_ts')} AS ts_utc")
+        order = copy_order("ts_utc", cfg.arrival)
+        rows = mark_copies(rows, "txn_id", order, cfg).selectExpr("*", f"{money('amount')} AS amt")
+        return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
+
+    @property
+    def _bad_time(self) -> str:
+        return f"(ts_utc IS NULL OR ts_utc >= {self.cfg.cutoff})"
+
+    @property
+    def _report_day(self) -> str:
+        on = self.runs.on
+        return f"if({on('PIPE-03')}, CAST(ts_utc AS DATE), {business_day('ts_utc', self.cfg)})"
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        """Every raw row with its reason for rejection (NULL: accepted) and business day."""
+        raw, on = self.raw, self.runs.on
+        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known")
+        reason = f"""CASE WHEN is_copy AND NOT {on('PIPE-01')} THEN 'DUPLICATE'
+                          WHEN NOT currency_known THEN 'INVALID_CURRENCY'
+                          WHEN {BAD_AMOUNT} THEN 'NON_POSITIVE_AMOUNT'
+                          WHEN account_id IS NOT NULL AND NOT account_known THEN 'UNKNOWN_ACCOUNT'
+                          WHEN {self._bad_time} THEN 'FUTURE_DATED' END AS reject_reason"""
+        return self.runs.fan_out(rows).selectExpr(
+            "run", *raw.transactions.columns, "amt", "ts_utc", "is_copy", reason, f"{self._report_day} AS ist_date")
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return self.classified.where("reject_reason IS NOT NULL").select("run", *QUARANTINE_COLUMNS)
+
+    @cached_property
+    def staging(self) -> DataFrame:
+        """Accepted rows with branch, day and converted amount.
+
+        The inner join to accounts is itself the account test, so staging needs no
+        membership flag; fanning out the runs waits until after that join.
+        """
+        raw, on = self.raw, self.runs.on
+        branches = raw.branches.selectExpr("branch_code", "branch_name", "true AS branch_known")
+        rows = (
+            self.checked.where(f"currency_known AND NOT {BAD_AMOUNT} AND NOT {self._bad_time}")
+            .join(raw.accounts.select("account_id", "branch_code"), "account_id")
+            .join(branches, "branch_code", "left")
+        )
+        rows = self.runs.fan_out(rows).where(
+            f"(NOT is_copy OR {on('PIPE-01')}) AND (branch_known IS NOT NULL OR NOT {on('PIPE-04')})")
+        newest = raw.fx_rates.selectExpr(f"{calendar_date('max(rate_date)')} AS newest")
+        priced_on = f"if({on('PIPE-02')}, newest, ist_date)" if on("PIPE-02") != "false" else "ist_date"
+        if "newest" in priced_on:
+            rows = rows.withColumn("newest", newest.scalar())
+        rates = raw.fx_rates.selectExpr(
+            "currency", f"{calendar_date('rate_date')} AS priced_on", "CAST(inr_rate AS DECIMAL(12, 4)) AS rate")
+        return (
+            rows.selectExpr(
+                "* EXCEPT (amount)", f"{self._report_day} AS ist_date",
+                f"if({on('PIPE-06')}, CAST(floor(amt) AS DECIMAL(18, 2)), amt) AS amount")
+            .selectExpr("*", f"{priced_on} AS priced_on")
+            .join(rates, ["currency", "priced_on"], "left")
+            .selectExpr(
+                "run", *STAGING_COLUMNS[:-1],
+                f"CAST(if(currency = '{self.cfg.base_currency}', amount, round(amount * rate, 2)) "
+                "AS DECIMAL(28, 2)) AS inr_amount")
+        )
+
+    @property
+    def _counted(self) -> DataFrame:
+        return self.staging.where(f"status = 'SUCCESS' OR {self.runs.on('PIPE-05')}")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        """Count, credits, debits and net per business day and branch."""
+        return aggregate(
+            self._counted, ["run", "ist_date AS report_date", "branch_code"],
+            "count(*) AS txn_count", f"{total('CREDIT')} AS credit_inr", f"{total('DEBIT')} AS debit_inr",
+            f"{NET} AS net_inr")
+
+    @cached_property
+    def balances(self) -> DataFrame:
+        """Opening, movements and computed closing per account, against the ledger."""
+        raw = self.raw
+        net = aggregate(self._counted, ["run", "account_id"],
+                        f"{total('CREDIT')} AS credits", f"{total('DEBIT')} AS debits")
+        ledger = raw.closing_balances.selectExpr(
+            "account_id", "CAST(closing_balance AS DECIMAL(18, 2)) AS source_closing")
+        accounts = raw.accounts.selectExpr("account_id", "CAST(opening_balance AS DECIMAL(18, 2)) AS opening")
+        return (
+            self.runs.fan_out(accounts.join(ledger, "account_id", "left"))
+            .join(net, ["run", "account_id"], "left")
+            .selectExpr("run", "account_id", "opening", *zero_if_null("credits", "debits"), "source_closing")
+            .selectExpr("run", "account_id", "opening", "credits", "debits",
+                        "opening + credits - debits AS computed_closing", "source_closing",
+                        "source_closing - (opening + credits - debits) AS difference")
+        )
+
+
+def run(raw: Extract, cfg: Config, faults: Iterable[str] = ()) -> Pipeline:
+    return Pipeline(raw, cfg, Runs.single(faults))

@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veritally.config import Config, Runs
-from veritally.plans import expectations, pipeline, reconcile, rules, score
-from veritally.sources.extract import Extract
+from veritally.functions.expressions import quoted
+from veritally.operators.frames import aggregate
+from veritally.plans import expectations, rules, score
+from veritally.plans.pipeline import Pipeline
+from veritally.plans.reconcile import Checks, Source
+from veritally.sources.extract import COLUMNS, Extract
 from veritally.sources.sinks import write_sections, written_table
 
 
 def counts(raw: Extract) -> DataFrame:
     """Rows per table, as the manifest lists them."""
-    listed = [name for name in raw.tables() if name != "closing_balances"]
-    return rules.table_counts(raw, listed)
+    return rules.table_counts(raw, [name for name in COLUMNS if name != "closing_balances"])
 
 
 def quarantine_breakdown(quarantine: DataFrame) -> DataFrame:
-    return quarantine.groupBy("reject_reason").agg(F.count("*").alias("rows"))
+    return aggregate(quarantine, ["reject_reason"], "count(*) AS rows")
 
 
 def build_report(
@@ -29,33 +30,26 @@ def build_report(
 ) -> dict[str, DataFrame]:
     """Write stages under ``folder/tables`` and sections under ``folder/report``; return the sections.
 
-    Findings, staging, quarantine, reports and the two recomputed sides of the checks are
-    written once and read back: each is computed a single time, and a lost executor costs
-    only its own tasks. ``folder`` must be one every executor can reach.
+    Findings, the pipeline's tables and the two recomputed sides of the checks are written
+    once and read back: each is computed a single time, and a lost executor costs only its
+    own tasks. ``folder`` must be one every executor can reach.
     """
-    runs = Runs.single(faults)
     tables = f"{folder}/tables"
     found = written_table(rules.findings(raw, cfg), f"{tables}/findings")
-    built = pipeline.build(raw, cfg, runs)
-    staging = written_table(built.staging, f"{tables}/staging", "ist_date")
-    quarantine = written_table(built.quarantine, f"{tables}/quarantine")
-    daily = written_table(pipeline.daily_summary(staging, runs), f"{tables}/daily_branch_summary", "report_date")
-    balances = written_table(pipeline.account_balances(staging, raw, runs), f"{tables}/account_balances")
-    out = replace(built, staging=staging, quarantine=quarantine, daily=daily, balances=balances)
-    source = reconcile.Source.of(raw, cfg)
-    source = replace(
-        source,
-        valid=written_table(source.valid, f"{tables}/valid_transactions"),
-        balances=written_table(source.balances, f"{tables}/expected_balances"),
-    )
+    out, source = Pipeline(raw, cfg, Runs.single(faults)), Source(raw, cfg)
+    out.quarantine = written_table(out.quarantine, f"{tables}/quarantine_transactions")
+    out.staging = written_table(out.staging, f"{tables}/stg_transactions")
+    out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", "report_date")
+    out.balances = written_table(out.balances, f"{tables}/rpt_account_balances")
+    source.valid = written_table(source.valid, f"{tables}/valid_transactions")
+    source.balances = written_table(source.balances, f"{tables}/expected_balances")
+    checks = Checks(source, out)
     by_rule = score.rule_scores(raw, found)
     by_dimension = score.dimension_scores(by_rule)
+    ids = quoted(*sorted(faults))
     sections = {
-        "run": raw.fx_rates.sparkSession.range(1).select(
-            F.lit(cfg.as_of).alias("as_of"),
-            F.array(*[F.lit(f) for f in sorted(faults)]).cast("array<string>").alias("pipeline_faults"),
-            daily.agg(F.count("*")).scalar().alias("report_rows"),
-        ),
+        "run": aggregate(out.daily, [], "count(*) AS report_rows").selectExpr(
+            f"'{cfg.as_of}' AS as_of", f"CAST(array({ids}) AS ARRAY<STRING>) AS pipeline_faults", "report_rows"),
         "counts": counts(raw),
         "score": score.overall_score(by_dimension),
         "dimensions": by_dimension,
@@ -63,9 +57,9 @@ def build_report(
         "grading": score.grade(found, manifest),
         "daily": score.daily_scores(raw, found, cfg),
         "expectations": expectations.evaluate_all(raw, cfg),
-        "reconciliation": reconcile.check_results(source, out, runs).drop("run"),
-        "mismatches": reconcile.mismatch_samples(source, out, runs).drop("run"),
-        "quarantine": quarantine_breakdown(quarantine),
+        "reconciliation": checks.results().drop("run"),
+        "mismatches": checks.samples().drop("run"),
+        "quarantine": quarantine_breakdown(out.quarantine),
     }
     write_sections(sections, f"{folder}/report")
     return sections

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from veritally.config import Config
-from veritally.functions.columns import blank, calendar_date, full_match, money, utc_timestamp
+from veritally.functions.expressions import blank, calendar_date, full_match, money, utc_timestamp
 from veritally.operators.copies import repeated_keys
+from veritally.operators.frames import aggregate, stacked
 from veritally.operators.members import mark_member, orphans
 from veritally.plans.oracle import expected_balances
 from veritally.sources.extract import Extract, valid_currencies
@@ -29,63 +29,62 @@ class Rule:
     key: str
     description: str
     # Row rules test one row at a time and share one pass over their table ...
-    failed: Callable[[Config], Column] | None = None
-    # ... possibly against these flags; the other rules bring a plan of their own.
+    failed: Callable[[Config], str] | None = None
+    # ... possibly against one of these flags; the other rules bring a plan of their own.
     flag: str | None = None
     find: Callable[[Extract, Config], DataFrame] | None = None
     distinct: bool = False
 
 
-def _late(cfg: Config) -> Column:
-    ts = utc_timestamp(F.col("txn_ts"))
-    return ts.isNull() | (ts >= cfg.cutoff)
+def _late(cfg: Config) -> str:
+    ts = utc_timestamp("txn_ts")
+    return f"{ts} IS NULL OR {ts} >= {cfg.cutoff}"
 
 
 def _repeated_ids(raw: Extract, cfg: Config) -> DataFrame:
-    return repeated_keys(raw.transactions, "txn_id").select("txn_id")
+    return repeated_keys(raw.transactions, "txn_id")
 
 
 def _unknown_branch(raw: Extract, cfg: Config) -> DataFrame:
-    return orphans(raw.accounts, "branch_code", raw.branches, "branch_code").select("account_id")
+    return orphans(raw.accounts, "branch_code", raw.branches, "branch_code")
 
 
 def _ledger(raw: Extract) -> DataFrame:
-    return raw.closing_balances.select("account_id", money(F.col("closing_balance")).alias("closing"))
+    return raw.closing_balances.selectExpr("account_id", f"{money('closing_balance')} AS closing")
 
 
 def _overdrawn_savings(raw: Extract, cfg: Config) -> DataFrame:
     savings = raw.accounts.where("account_type = 'SAVINGS'").select("account_id")
-    return _ledger(raw).where("closing < 0").join(savings, "account_id").select("account_id")
+    return _ledger(raw).where("closing < 0").join(savings, "account_id")
 
 
 def _wrong_closing(raw: Extract, cfg: Config) -> DataFrame:
     expected = expected_balances(raw, cfg).select("account_id", "expected_closing")
-    return _ledger(raw).join(expected, "account_id").where("closing <> expected_closing").select("account_id")
+    return _ledger(raw).join(expected, "account_id").where("closing <> expected_closing")
 
 
 def _minor_with_current_account(raw: Extract, cfg: Config) -> DataFrame:
     holders = raw.accounts.where("account_type = 'CURRENT'").select("customer_id").distinct()
-    came_of_age = cfg.as_of_date - F.expr(f"INTERVAL '{cfg.adult_years}' YEAR")
-    minors = raw.customers.where(calendar_date(F.col("date_of_birth")) > came_of_age)
-    return minors.join(holders, "customer_id", "left_semi").select("customer_id")
+    came_of_age = f"{cfg.as_of_date} - INTERVAL '{cfg.adult_years}' YEAR"
+    minors = raw.customers.where(f"{calendar_date('date_of_birth')} > {came_of_age}")
+    return minors.join(holders, "customer_id", "left_semi")
 
 
 RULES = [
     Rule("UNQ-01", "Uniqueness", "transactions", "txn_id", "A transaction id occurs once",
          find=_repeated_ids),
     Rule("CMP-01", "Completeness", "customers", "customer_id", "Email, phone and KYC status are filled in",
-         failed=lambda cfg: blank(F.col("email")) | blank(F.col("phone")) | blank(F.col("kyc_status"))),
+         failed=lambda cfg: " OR ".join(map(blank, ["email", "phone", "kyc_status"]))),
     Rule("VAL-01", "Validity", "transactions", "txn_id", "The currency is the base currency or has a rate",
-         failed=lambda cfg: ~F.col("currency_known"), flag="currency_known", distinct=True),
+         failed=lambda cfg: "NOT currency_known", flag="currency_known", distinct=True),
     Rule("VAL-02", "Validity", "transactions", "txn_id", "The amount is a positive number",
-         failed=lambda cfg: F.coalesce(money(F.col("amount")), F.lit(0)) <= 0, distinct=True),
+         failed=lambda cfg: f"coalesce({money('amount')}, 0) <= 0", distinct=True),
     Rule("VAL-03", "Validity", "customers", "customer_id", "A given email has the form of an address",
-         failed=lambda cfg: ~blank(F.col("email")) & ~full_match(F.col("email"), EMAIL)),
+         failed=lambda cfg: f"NOT {blank('email')} AND NOT {full_match('email', EMAIL)}"),
     Rule("VAL-04", "Validity", "customers", "customer_id", "A given phone is a ten-digit mobile number",
-         failed=lambda cfg: ~blank(F.col("phone")) & ~full_match(F.col("phone"), PHONE)),
+         failed=lambda cfg: f"NOT {blank('phone')} AND NOT {full_match('phone', PHONE)}"),
     Rule("INT-01", "Integrity", "transactions", "txn_id", "The account of a transaction exists",
-         failed=lambda cfg: F.col("account_id").isNotNull() & ~F.col("account_known"),
-         flag="account_known", distinct=True),
+         failed=lambda cfg: "account_id IS NOT NULL AND NOT account_known", flag="account_known", distinct=True),
     Rule("INT-02", "Integrity", "accounts", "account_id", "The branch of an account exists",
          find=_unknown_branch),
     Rule("TML-01", "Timeliness", "transactions", "txn_id", "A transaction is dated before the cutoff",
@@ -101,55 +100,44 @@ RULE_IDS = [r.rule_id for r in RULES]
 
 
 def rule_table(spark: SparkSession) -> DataFrame:
-    rows = [(i, r.rule_id, r.dimension, r.table, r.key, r.description) for i, r in enumerate(RULES)]
-    return spark.createDataFrame(
-        rows, "position int, rule_id string, dimension string, `table` string, key_column string, description string"
-    )
+    rows = [(r.rule_id, r.dimension, r.table, r.description) for r in RULES]
+    return spark.createDataFrame(rows, "rule_id string, dimension string, `table` string, description string")
 
 
 def findings(raw: Extract, cfg: Config, rule_ids: Iterable[str] = RULE_IDS) -> DataFrame:
-    """(rule_id, key) of the chosen rules; row rules on one table share its scan."""
+    """(rule_id, key) of the chosen rules; row rules on one table share its scan.
+
+    Transaction rules and CON-03 report a key once, the others once per bad row.
+    """
     wanted = [r for r in RULES if r.rule_id in set(rule_ids)]
-    parts = [
-        r.find(raw, cfg).select(F.lit(r.rule_id).alias("rule_id"), F.col(r.key).alias("key"))
-        for r in wanted if r.find and not r.distinct
-    ]
-    parts += [
-        r.find(raw, cfg).select(F.lit(r.rule_id).alias("rule_id"), F.col(r.key).alias("key")).distinct()
-        for r in wanted if r.find and r.distinct
-    ]
+    parts = []
+    for rule in wanted:
+        if rule.find:
+            found = rule.find(raw, cfg).selectExpr(f"'{rule.rule_id}' AS rule_id", f"{rule.key} AS key")
+            parts.append(found.distinct() if rule.distinct else found)
     for table in ("transactions", "customers"):
         group = [r for r in wanted if r.failed and r.table == table]
         if group:
             found = _row_findings(raw, cfg, group)
-            # Transaction rules report an id once, customer rules once per bad row.
             parts.append(found.distinct() if group[0].distinct else found)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return stacked(parts)
 
 
 def _row_findings(raw: Extract, cfg: Config, group: list[Rule]) -> DataFrame:
-    rows = raw.tables()[group[0].table]
+    rows, key = getattr(raw, group[0].table), group[0].key
     flags = {r.flag for r in group}
     if "currency_known" in flags:
         rows = mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
     if "account_known" in flags:
         rows = mark_member(rows, "account_id", raw.accounts, "account_id", "account_known")
     if len(group) == 1:
-        failed = rows.where(group[0].failed(cfg))
-        return failed.select(F.lit(group[0].rule_id).alias("rule_id"), F.col(group[0].key).alias("key"))
-    hits = F.array_compact(F.array(*[F.when(r.failed(cfg), F.lit(r.rule_id)) for r in group]))
-    return rows.select(F.explode(hits).alias("rule_id"), F.col(group[0].key).alias("key"))
+        return rows.where(group[0].failed(cfg)).selectExpr(f"'{group[0].rule_id}' AS rule_id", f"{key} AS key")
+    hits = ", ".join(f"if({r.failed(cfg)}, '{r.rule_id}', NULL)" for r in group)
+    return rows.selectExpr(f"explode(array({hits})) AS rule_id", f"{key} AS key").where("rule_id IS NOT NULL")
 
 
 def table_counts(raw: Extract, names: Iterable[str]) -> DataFrame:
-    counts = [
-        rows.agg(F.count("*").alias("records")).select(F.lit(name).alias("table"), "records")
-        for name, rows in raw.tables().items() if name in set(names)
-    ]
-    whole = counts[0]
-    for part in counts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return stacked([
+        aggregate(getattr(raw, name), [], "count(*) AS records").selectExpr(f"'{name}' AS table", "records")
+        for name in names
+    ])

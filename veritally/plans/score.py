@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veritally.config import Config
-from veritally.functions.columns import business_day, share, utc_timestamp
-from veritally.operators.samples import first_n
-from veritally.plans.rules import DIMENSIONS, RULES, rule_table, table_counts
+from veritally.functions.expressions import business_day, quoted, share, utc_timestamp
+from veritally.operators.frames import aggregate, zero_if_null
+from veritally.operators.samples import first_n, in_place
+from veritally.plans.rules import DIMENSIONS, rule_table, table_counts
 from veritally.sources.extract import Extract
 
 # Findings of these rules fail a transaction row in the daily score.
@@ -16,33 +16,28 @@ TXN_ROW_RULES = ["VAL-01", "VAL-02", "INT-01"]
 
 
 def rule_scores(raw: Extract, found: DataFrame) -> DataFrame:
-    failed = found.groupBy("rule_id").agg(F.count("*").alias("failed"))
-    records = table_counts(raw, {r.table for r in RULES})
-    passed = F.col("records") - F.col("failed")
+    failed = aggregate(found, ["rule_id"], "count(*) AS failed")
+    records = table_counts(raw, ["transactions", "customers", "accounts"])
     return (
-        rule_table(found.sparkSession)
-        .join(records, "table")
-        .join(failed, "rule_id", "left")
-        .withColumn("failed", F.coalesce("failed", F.lit(0)))
-        .withColumn("pass_rate", share(passed * 100, F.col("records"), 2, 100.0))
-        .select("rule_id", "dimension", "table", "description", "records", "failed", "pass_rate")
+        rule_table(found.sparkSession).join(records, "table").join(failed, "rule_id", "left")
+        .selectExpr("rule_id", "dimension", "table", "description", "records", *zero_if_null("failed"))
+        .selectExpr("*", f"{share('(records - failed) * 100', 'records', 2, 100.0)} AS pass_rate")
     )
 
 
-def _mean_score(column: str):
+def _mean(score: str) -> str:
     """Unweighted mean of scores already rounded to two places, rounded again."""
-    hundredths = F.sum(F.round(F.col(column) * 100).cast("long"))
-    return share(hundredths, F.count(column) * 100, 2, 100.0).alias("score")
+    return share(f"sum(CAST(round({score} * 100) AS BIGINT))", f"(count({score}) * 100)", 2, 100.0)
 
 
 def dimension_scores(rules: DataFrame) -> DataFrame:
-    names = rules.sparkSession.createDataFrame(list(enumerate(DIMENSIONS)), "position int, dimension string")
+    names = rules.sparkSession.sql(f"SELECT explode(array({quoted(*DIMENSIONS)})) AS dimension")
     scored = names.join(rules.select("dimension", "pass_rate"), "dimension", "left")
-    return scored.groupBy("dimension").agg(_mean_score("pass_rate"))
+    return aggregate(scored, ["dimension"], f"{_mean('pass_rate')} AS score")
 
 
 def overall_score(dimensions: DataFrame) -> DataFrame:
-    return dimensions.agg(_mean_score("score"))
+    return aggregate(dimensions, [], f"{_mean('score')} AS score")
 
 
 def daily_scores(raw: Extract, found: DataFrame, cfg: Config) -> DataFrame:
@@ -52,21 +47,16 @@ def daily_scores(raw: Extract, found: DataFrame, cfg: Config) -> DataFrame:
     So the passed rows of a day are the good ids whose first copy falls on it, and
     ids are reduced to one row each before anything is joined.
     """
-    day = business_day(utc_timestamp(F.col("txn_ts")), cfg)
-    rows = raw.transactions.select("txn_id", day.alias("day"), *([cfg.arrival] if cfg.arrival else []))
-    first = F.min_by("day", cfg.arrival) if cfg.arrival else F.min("day")
-    bad = found.where(F.col("rule_id").isin(TXN_ROW_RULES)).select(F.col("key").alias("txn_id")).distinct()
-    good = rows.groupBy("txn_id").agg(first.alias("day")).join(bad, "txn_id", "left_anti")
-    passed = good.groupBy("day").agg(F.count("*").alias("passed"))
+    day = business_day(utc_timestamp("txn_ts"), cfg)
+    rows = raw.transactions.selectExpr("txn_id", f"{day} AS day", *([cfg.arrival] if cfg.arrival else []))
+    first = f"min_by(day, {cfg.arrival})" if cfg.arrival else "min(day)"
+    bad = found.where(f"rule_id IN ({quoted(*TXN_ROW_RULES)})").selectExpr("key AS txn_id").distinct()
+    good = aggregate(rows, ["txn_id"], f"{first} AS day").join(bad, "txn_id", "left_anti")
     return (
-        rows.where(F.col("day") <= cfg.as_of_date)
-        .groupBy("day").agg(F.count("*").alias("rows"))
-        .join(passed, "day", "left")
-        .withColumn("passed", F.coalesce("passed", F.lit(0)))
-        .select(
-            F.col("day").alias("date"), "rows", (F.col("rows") - F.col("passed")).alias("failed"),
-            share(F.col("passed") * 100, F.col("rows"), 2, 100.0).alias("score"),
-        )
+        aggregate(rows.where(f"day <= {cfg.as_of_date}"), ["day"], "count(*) AS rows")
+        .join(aggregate(good, ["day"], "count(*) AS passed"), "day", "left")
+        .selectExpr("day AS date", "rows", *zero_if_null("passed"))
+        .selectExpr("date", "rows", "rows - passed AS failed", f"{share('passed * 100', 'rows', 2, 100.0)} AS score")
     )
 
 
@@ -77,48 +67,27 @@ def worst_day(daily: DataFrame) -> DataFrame:
 def expected_keys(manifest: DataFrame) -> DataFrame:
     """(rule_id, key) the rules should flag; a negative savings balance also breaks CON-02."""
     keys = manifest.select("rule_id", "key")
-    overlap = keys.where("rule_id = 'CON-01'").withColumn("rule_id", F.lit("CON-02"))
-    return keys.unionByName(overlap)
+    return keys.unionByName(keys.where("rule_id = 'CON-01'").selectExpr("'CON-02' AS rule_id", "key"))
 
 
 def grade(found: DataFrame, manifest: DataFrame) -> DataFrame:
     """Found against planted keys for all rules, with up to ten missed and false keys."""
-    sides = (
-        found.select("rule_id", "key", F.lit(1).alias("found"), F.lit(0).alias("planted"))
-        .unionByName(expected_keys(manifest).select("rule_id", "key", F.lit(0).alias("found"), F.lit(1).alias("planted")))
-        .groupBy("rule_id", "key")
-        .agg(F.max("found").alias("found"), F.max("planted").alias("planted"))
-    )
-    totals = sides.groupBy("rule_id").agg(
-        F.sum("planted").alias("expected"), F.sum("found").alias("found"),
-        F.sum(F.col("found") * F.col("planted")).alias("hits"),
-    )
-    wrong = sides.where("found <> planted")
-    top = first_n(wrong, ["rule_id", "found"], ["key"], 10, "place")
-    lists = top.groupBy("rule_id").agg(
-        *[
-            F.transform(
-                F.array_sort(F.collect_list(F.when(F.col("found") == side, F.struct("place", "key")))),
-                lambda x: x["key"],
-            ).alias(name)
-            for name, side in (("missed", 0), ("false_positives", 1))
-        ]
-    )
-    none, zero = F.array().cast("array<string>"), F.lit(0)
+    marked = found.selectExpr("rule_id", "key", "1 AS hit", "0 AS planted").unionByName(
+        expected_keys(manifest).selectExpr("rule_id", "key", "0 AS hit", "1 AS planted"))
+    keys = aggregate(marked, ["rule_id", "key"], "max(hit) AS hit", "max(planted) AS planted")
+    totals = aggregate(keys, ["rule_id"], "sum(planted) AS expected", "sum(hit) AS found", "sum(hit * planted) AS hits")
+    wrong = first_n(keys.where("hit <> planted"), "rule_id, hit", "key", 10)
+    lists = aggregate(wrong, ["rule_id"], f"{in_place('key', 'hit = 0')} AS missed",
+                      f"{in_place('key', 'hit = 1')} AS false_positives")
+    none = "CAST(array() AS ARRAY<STRING>)"
     return (
-        rule_table(found.sparkSession).select("rule_id")
-        .join(totals, "rule_id", "left").join(lists, "rule_id", "left")
-        .withColumns({c: F.coalesce(c, zero) for c in ("expected", "found", "hits")})
-        .select(
-            "rule_id", "expected", "found",
-            F.coalesce("missed", none).alias("missed"),
-            F.coalesce("false_positives", none).alias("false_positives"),
-            share(F.col("hits"), F.col("found"), 4, 1.0).alias("precision"),
-            share(F.col("hits"), F.col("expected"), 4, 1.0).alias("recall"),
-        )
+        rule_table(found.sparkSession).join(totals, "rule_id", "left").join(lists, "rule_id", "left")
+        .selectExpr("rule_id", *zero_if_null("expected", "found", "hits"), f"coalesce(missed, {none}) AS missed",
+                    f"coalesce(false_positives, {none}) AS false_positives")
+        .selectExpr("rule_id", "expected", "found", "missed", "false_positives",
+                    f"{share('hits', 'found', 4, 1.0)} AS precision", f"{share('hits', 'expected', 4, 1.0)} AS recall")
     )
 
 
 def exact_rules(graded: DataFrame) -> DataFrame:
-    exact = (F.col("precision") == 1.0) & (F.col("recall") == 1.0)
-    return graded.agg(F.count_if(exact).alias("exact"), F.count("*").alias("rules"))
+    return aggregate(graded, [], "count_if(precision = 1 AND recall = 1) AS exact", "count(*) AS rules")

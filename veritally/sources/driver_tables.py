@@ -7,10 +7,10 @@ is one branch. Clean rows only; :mod:`veritally.plans.inject` adds the defects.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from veritally.config import Config
-from veritally.functions.columns import iso_utc, money_text, rotate, zero_padded
+from veritally.functions.expressions import iso_utc, money_text, quoted, rotate, zero_padded
+from veritally.operators.frames import aggregate
 from veritally.sources.extract import Extract
 
 CONFIG = Config(cutoff_utc="2024-01-30 18:30:00", as_of="2024-01-30")
@@ -27,105 +27,95 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def branches(nation: DataFrame) -> DataFrame:
-    return nation.select(
-        F.concat(F.lit("BR"), zero_padded(F.col("n_nationkey"), 4)).alias("branch_code"),
-        F.col("n_name").alias("branch_name"),
-        F.col("n_name").alias("city"),
+    return nation.selectExpr(
+        f"concat('BR', {zero_padded('n_nationkey', 4)}) AS branch_code",
+        "n_name AS branch_name",
+        "n_name AS city",
     )
 
 
 def customers(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customer.select(
-        F.concat(F.lit("C"), zero_padded(key, 6)).alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.concat(F.lit("user"), key, F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("9"), zero_padded(key, 9)).alias("phone"),
-        F.date_add(F.lit("1970-01-01").cast("date"), (key % 9000).cast("int"))
-        .cast("string").alias("date_of_birth"),
-        F.concat(F.lit("City "), F.col("c_nationkey")).alias("city"),
-        F.when(key % 20 == 0, "PENDING").otherwise("VERIFIED").alias("kyc_status"),
-        F.lit("2023-12-01").alias("created_at"),
+    return customer.selectExpr(
+        f"concat('C', {zero_padded('c_custkey', 6)}) AS customer_id",
+        "c_name AS full_name",
+        "concat('user', c_custkey, '@example.com') AS email",
+        f"concat('9', {zero_padded('c_custkey', 9)}) AS phone",
+        "CAST(date_add(DATE'1970-01-01', CAST(c_custkey % 9000 AS INT)) AS STRING) AS date_of_birth",
+        "concat('City ', c_nationkey) AS city",
+        "if(c_custkey % 20 = 0, 'PENDING', 'VERIFIED') AS kyc_status",
+        "'2023-12-01' AS created_at",
     )
 
 
 def accounts(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customer.select(
-        F.concat(F.lit("ACC-"), zero_padded(key, 6)).alias("account_id"),
-        F.concat(F.lit("C"), zero_padded(key, 6)).alias("customer_id"),
-        F.concat(F.lit("BR"), zero_padded(F.col("c_nationkey"), 4)).alias("branch_code"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "CURRENT").otherwise("SAVINGS").alias("account_type"),
-        F.lit("INR").alias("currency"),
-        money_text(F.abs("c_acctbal").cast("decimal(18,2)") + 100000).alias("opening_balance"),
-        F.lit("2023-12-01").alias("opened_on"),
-        F.lit("ACTIVE").alias("status"),
+    return customer.selectExpr(
+        f"concat('ACC-', {zero_padded('c_custkey', 6)}) AS account_id",
+        f"concat('C', {zero_padded('c_custkey', 6)}) AS customer_id",
+        f"concat('BR', {zero_padded('c_nationkey', 4)}) AS branch_code",
+        "if(c_mktsegment = 'BUILDING', 'CURRENT', 'SAVINGS') AS account_type",
+        "'INR' AS currency",
+        f"{money_text('CAST(abs(c_acctbal) AS DECIMAL(18, 2)) + 100000')} AS opening_balance",
+        "'2023-12-01' AS opened_on",
+        "'ACTIVE' AS status",
     )
 
 
 def transactions(events: DataFrame, cfg: Config = CONFIG) -> DataFrame:
-    event, amount = F.col("event_id"), F.col("value").cast("decimal(18,2)")
-    foreign = event % 33 == 2
-    channel = F.when(foreign, "SWIFT").otherwise(rotate(INLAND_CHANNELS, event))
-    debit = channel.isin("ATM", "POS") | F.col("event_type").isin("purchase", "error")
-    return events.where((F.col("ts") < cfg.cutoff) & (amount > 0)).select(
-        F.concat(F.lit("T"), zero_padded(event, 8)).alias("txn_id"),
-        F.concat(F.lit("ACC-"), zero_padded(F.col("user_id"), 6)).alias("account_id"),
-        iso_utc(F.col("ts")).alias("txn_ts"),
-        amount.cast("string").alias("amount"),
-        F.when(foreign, rotate(list(BASE_RATES), F.expr("event_id div 33")))
-        .otherwise("INR").alias("currency"),
-        F.when(~foreign & debit, "DEBIT").otherwise("CREDIT").alias("direction"),
-        channel.alias("channel"),
-        F.col("event_type").alias("counterparty"),
-        F.when(event % 25 == 0, "FAILED").when(event % 100 == 1, "REVERSED")
-        .otherwise("SUCCESS").alias("status"),
+    amount = "CAST(value AS DECIMAL(18, 2))"
+    foreign = "event_id % 33 = 2"
+    paid_out = "event_id % 5 IN (3, 4) OR event_type IN ('purchase', 'error')"
+    return events.where(f"ts < TIMESTAMP_NTZ'{cfg.cutoff_utc}' AND {amount} > 0").selectExpr(
+        f"concat('T', {zero_padded('event_id', 8)}) AS txn_id",
+        f"concat('ACC-', {zero_padded('user_id', 6)}) AS account_id",
+        f"{iso_utc('ts')} AS txn_ts",
+        f"CAST({amount} AS STRING) AS amount",
+        f"if({foreign}, {rotate(list(BASE_RATES), '(event_id div 33)')}, 'INR') AS currency",
+        f"CASE WHEN {foreign} THEN 'CREDIT' WHEN {paid_out} THEN 'DEBIT' ELSE 'CREDIT' END AS direction",
+        f"if({foreign}, 'SWIFT', {rotate(INLAND_CHANNELS, 'event_id')}) AS channel",
+        "event_type AS counterparty",
+        "CASE WHEN event_id % 25 = 0 THEN 'FAILED' WHEN event_id % 100 = 1 THEN 'REVERSED' "
+        "ELSE 'SUCCESS' END AS status",
     )
 
 
 def fx_rates(spark: SparkSession) -> DataFrame:
-    base = F.array(*[
-        F.struct(F.lit(c).alias("currency"), F.lit(r).cast("decimal(12,4)").alias("rate"))
-        for c, r in BASE_RATES.items()
-    ])
-    days = spark.range(1, RATE_DAYS + 1).select(F.col("id").cast("int").alias("day"), F.explode(base).alias("base"))
-    rate = F.col("base.rate") + F.col("day") * F.lit(DAILY_RISE).cast("decimal(12,4)")
-    return days.select(
-        F.date_add(F.lit(FIRST_RATE_DAY).cast("date"), F.col("day") - 1).cast("string").alias("rate_date"),
-        F.col("base.currency").alias("currency"),
-        rate.cast("decimal(12,4)").cast("string").alias("inr_rate"),
+    rates = f"map_from_arrays(array({quoted(*BASE_RATES)}), array({', '.join(BASE_RATES.values())}))"
+    return (
+        spark.range(RATE_DAYS)
+        .selectExpr("CAST(id AS INT) AS day", f"explode({rates}) AS (currency, base)")
+        .selectExpr(
+            f"CAST(date_add(DATE'{FIRST_RATE_DAY}', day) AS STRING) AS rate_date",
+            "currency",
+            f"CAST(CAST(base + (day + 1) * {DAILY_RISE} AS DECIMAL(12, 4)) AS STRING) AS inr_rate",
+        )
     )
 
 
 def closing_balances(clean: DataFrame, opened: DataFrame, rates: DataFrame, cfg: Config = CONFIG) -> DataFrame:
     """The bank's own ledger: opening plus the clean movements, one row per account."""
-    moment = F.to_timestamp_ntz("txn_ts", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    day = F.to_date(moment + F.expr(f"INTERVAL '{cfg.offset_minutes}' MINUTE"))
+    moment = """to_timestamp_ntz(txn_ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")"""
+    rupees = "if(currency = 'INR', amount, round(amount * CAST(inr_rate AS DECIMAL(12, 4)), 2))"
     priced = (
         clean.where("status = 'SUCCESS'")
-        .select("account_id", "direction", "currency", F.col("amount").cast("decimal(18,2)").alias("amount"),
-                day.cast("string").alias("rate_date"))
+        .selectExpr(
+            "account_id", "direction", "currency", "CAST(amount AS DECIMAL(18, 2)) AS amount",
+            f"CAST(CAST({moment} + INTERVAL '{cfg.offset_minutes}' MINUTE AS DATE) AS STRING) AS rate_date",
+        )
         .join(rates, ["currency", "rate_date"], "left")
     )
-    rupees = F.expr("if(currency = 'INR', amount, round(amount * cast(inr_rate as decimal(12,4)), 2))")
-    moved = priced.groupBy("account_id").agg(
-        F.sum(rupees * F.when(F.col("direction") == "CREDIT", 1).otherwise(-1)).alias("moved")
-    )
-    closing = F.col("opening_balance").cast("decimal(18,2)") + F.coalesce("moved", F.lit(0))
-    return opened.join(moved, "account_id", "left").select(
-        "account_id", F.lit(cfg.as_of).alias("as_of"), money_text(closing).alias("closing_balance")
-    )
+    moved = aggregate(priced, ["account_id"], f"sum({rupees} * if(direction = 'CREDIT', 1, -1)) AS moved")
+    closing = money_text("CAST(opening_balance AS DECIMAL(18, 2)) + coalesce(moved, 0)")
+    return opened.join(moved, "account_id", "left").selectExpr(
+        "account_id", f"'{cfg.as_of}' AS as_of", f"{closing} AS closing_balance")
 
 
 def clean_extract(spark: SparkSession, sf_dir: str, cfg: Config = CONFIG) -> Extract:
-    customer = table(spark, sf_dir, "customer")
-    moved = transactions(table(spark, sf_dir, "events"), cfg)
-    opened, rates = accounts(customer), fx_rates(spark)
-    return Extract(
-        branches=branches(table(spark, sf_dir, "nation")),
-        customers=customers(customer),
-        accounts=opened,
-        transactions=moved,
-        fx_rates=rates,
-        closing_balances=closing_balances(moved, opened, rates, cfg),
+    clean = Extract(
+        branches=lambda: branches(table(spark, sf_dir, "nation")),
+        customers=lambda: customers(table(spark, sf_dir, "customer")),
+        accounts=lambda: accounts(table(spark, sf_dir, "customer")),
+        transactions=lambda: transactions(table(spark, sf_dir, "events"), cfg),
+        fx_rates=lambda: fx_rates(spark),
+        closing_balances=lambda: closing_balances(clean.transactions, clean.accounts, clean.fx_rates, cfg),
     )
+    return clean

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Tables and columns of the extract, in file order.
@@ -26,8 +26,9 @@ DEFECT_DOCUMENT = (
 )
 
 
-@dataclass(frozen=True)
 class Extract:
+    """The tables as attributes; each is built when it is first asked for."""
+
     branches: DataFrame
     customers: DataFrame
     accounts: DataFrame
@@ -35,8 +36,15 @@ class Extract:
     fx_rates: DataFrame
     closing_balances: DataFrame
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    def __init__(self, **sources: Callable[[], DataFrame]):
+        self._sources = sources
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in COLUMNS:
+            raise AttributeError(table)
+        rows = self._sources[table]()
+        setattr(self, table, rows)
+        return rows
 
 
 def text_schema(table: str, arrival: str | None = None) -> str:
@@ -54,14 +62,13 @@ def read_extract(spark: SparkSession, folder: str, arrival: str | None = None) -
             rows = rows.withColumn(arrival, F.col(arrival).cast("long"))
         return rows
 
-    return Extract(**{table: read(table) for table in COLUMNS})
+    return Extract(**{table: lambda t=table: read(t) for table in COLUMNS})
 
 
 def write_extract(extract: Extract, folder: str) -> None:
-    for table, rows in extract.tables().items():
-        rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(
-            f"{folder}/{table}.csv"
-        )
+    for table in COLUMNS:
+        writer = getattr(extract, table).write.mode("overwrite")
+        writer.option("header", True).option("escape", '"').csv(f"{folder}/{table}.csv")
 
 
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
@@ -71,10 +78,8 @@ def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
     one-line-per-key form of :func:`write_manifest`.
     """
     document = spark.read.schema(DEFECT_DOCUMENT).option("multiLine", True).json(path)
-    defects = document.select(F.explode("defects").alias("defect_id", "defect"))
-    return defects.select(
-        "defect_id", F.col("defect.rule").alias("rule_id"), F.explode("defect.keys").alias("key")
-    )
+    defects = document.selectExpr("explode(defects) AS (defect_id, defect)")
+    return defects.selectExpr("defect_id", "defect.rule AS rule_id", "explode(defect.keys) AS key")
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
@@ -86,12 +91,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def valid_currencies(raw: Extract, base_currency: str) -> DataFrame:
-    base = raw.fx_rates.sparkSession.range(1).select(F.lit(base_currency).alias("currency"))
-    return base.union(raw.fx_rates.select("currency")).distinct()
+    rated = raw.fx_rates.select("currency")
+    return rated.union(rated.sparkSession.sql(f"SELECT '{base_currency}'")).distinct()
 
 
-def copy_order(transactions: DataFrame, ts_utc: Column, arrival: str | None) -> list[Column]:
+def copy_order(ts_utc: str, arrival: str | None) -> str:
     """Which copy of an id came first: arrival, else time; equal rows are interchangeable."""
-    leading = [F.col(arrival)] if arrival else [ts_utc]
-    content = [F.col(c) for c in COLUMNS["transactions"] if c in transactions.columns]
-    return [c.asc_nulls_last() for c in leading + content]
+    return ", ".join(f"{c} ASC NULLS LAST" for c in [arrival or ts_utc, *COLUMNS["transactions"]])
