@@ -10,6 +10,7 @@ from veritally.config import Config, Runs
 from veritally.operators.frames import aggregate, stacked
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source
+from veritally.session import written
 from veritally.sources.extract import Extract
 
 
@@ -17,7 +18,7 @@ def check_matrix(extracts: Mapping[str, Extract], cfg: Config, runs: Runs | None
     """(extract, run, check_id, passed, mismatches); the runs share one plan per extract."""
     runs = runs or Runs.matrix()
     return stacked([
-        Checks(Source(raw, cfg), Pipeline(raw, cfg, runs)).results()
+        Checks(Source(raw, cfg), Pipeline(raw, cfg, runs)).keep(written).results()
         .selectExpr(f"'{name}' AS extract", "run", "check_id", "passed", "mismatches")
         for name, raw in extracts.items()
     ])

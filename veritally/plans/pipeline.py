@@ -72,31 +72,35 @@ class Pipeline:
         return self.classified.where("reject_reason IS NOT NULL").select("run", *QUARANTINE_COLUMNS)
 
     @cached_property
-    def staging(self) -> DataFrame:
-        """Accepted rows with branch, day and converted amount.
+    def accepted(self) -> DataFrame:
+        """Valid rows, copies included, with account and branch: nothing here depends on a fault.
 
-        The inner join to accounts is itself the account test, so staging needs no
-        membership flag; fanning out the runs waits until after that join.
+        The inner join to accounts is itself the account test, so no membership flag is needed.
         """
-        raw, on = self.raw, self.runs.on
-        branches = raw.branches.selectExpr("branch_code", "branch_name", "true AS branch_known")
-        rows = (
+        branches = self.raw.branches.selectExpr("branch_code", "branch_name", "true AS branch_known")
+        return (
             self.checked.where(f"currency_known AND NOT {BAD_AMOUNT} AND NOT {self._bad_time}")
-            .join(raw.accounts.select("account_id", "branch_code"), "account_id")
+            .select("txn_id", "account_id", "ts_utc", "direction", "channel", "status", "currency", "amt", "is_copy")
+            .join(self.raw.accounts.select("account_id", "branch_code"), "account_id")
             .join(branches, "branch_code", "left")
         )
-        rows = self.runs.fan_out(rows).where(
+
+    @cached_property
+    def staging(self) -> DataFrame:
+        """Accepted rows of each run with business day and converted amount."""
+        raw, on = self.raw, self.runs.on
+        rows = self.runs.fan_out(self.accepted).where(
             f"(NOT is_copy OR {on('PIPE-01')}) AND (branch_known IS NOT NULL OR NOT {on('PIPE-04')})")
-        newest = raw.fx_rates.selectExpr(f"{calendar_date('max(rate_date)')} AS newest")
-        priced_on = f"if({on('PIPE-02')}, newest, ist_date)" if on("PIPE-02") != "false" else "ist_date"
-        if "newest" in priced_on:
+        priced_on = "ist_date"
+        if on("PIPE-02") != "false":
+            newest = raw.fx_rates.selectExpr(f"{calendar_date('max(rate_date)')} AS newest")
             rows = rows.withColumn("newest", newest.scalar())
+            priced_on = f"if({on('PIPE-02')}, newest, ist_date)"
         rates = raw.fx_rates.selectExpr(
             "currency", f"{calendar_date('rate_date')} AS priced_on", "CAST(inr_rate AS DECIMAL(12, 4)) AS rate")
         return (
-            rows.selectExpr(
-                "* EXCEPT (amount)", f"{self._report_day} AS ist_date",
-                f"if({on('PIPE-06')}, CAST(floor(amt) AS DECIMAL(18, 2)), amt) AS amount")
+            rows.selectExpr("*", f"{self._report_day} AS ist_date",
+                            f"if({on('PIPE-06')}, CAST(floor(amt) AS DECIMAL(18, 2)), amt) AS amount")
             .selectExpr("*", f"{priced_on} AS priced_on")
             .join(rates, ["currency", "priced_on"], "left")
             .selectExpr(

@@ -35,14 +35,14 @@ def build_report(
     own tasks. ``folder`` must be one every executor can reach.
     """
     tables = f"{folder}/tables"
-    found = written_table(rules.findings(raw, cfg), f"{tables}/findings")
     out, source = Pipeline(raw, cfg, Runs.single(faults)), Source(raw, cfg)
+    source.valid = written_table(source.valid, f"{tables}/valid_transactions")
+    source.balances = written_table(source.balances, f"{tables}/expected_balances")
+    found = written_table(rules.findings(raw, cfg, balances=source.balances), f"{tables}/findings")
     out.quarantine = written_table(out.quarantine, f"{tables}/quarantine_transactions")
     out.staging = written_table(out.staging, f"{tables}/stg_transactions")
     out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", "report_date")
     out.balances = written_table(out.balances, f"{tables}/rpt_account_balances")
-    source.valid = written_table(source.valid, f"{tables}/valid_transactions")
-    source.balances = written_table(source.balances, f"{tables}/expected_balances")
     checks = Checks(source, out)
     by_rule = score.rule_scores(raw, found)
     by_dimension = score.dimension_scores(by_rule)

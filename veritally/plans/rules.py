@@ -12,7 +12,7 @@ from veritally.functions.expressions import blank, calendar_date, full_match, mo
 from veritally.operators.copies import repeated_keys
 from veritally.operators.frames import aggregate, stacked
 from veritally.operators.members import mark_member, orphans
-from veritally.plans.oracle import expected_balances
+from veritally.plans.oracle import expected_balances, valid_transactions
 from veritally.sources.extract import Extract, valid_currencies
 
 # Fixed values.
@@ -32,7 +32,7 @@ class Rule:
     failed: Callable[[Config], str] | None = None
     # ... possibly against one of these flags; the other rules bring a plan of their own.
     flag: str | None = None
-    find: Callable[[Extract, Config], DataFrame] | None = None
+    find: Callable[[Extract, Config, DataFrame | None], DataFrame] | None = None
     distinct: bool = False
 
 
@@ -41,11 +41,11 @@ def _late(cfg: Config) -> str:
     return f"{ts} IS NULL OR {ts} >= {cfg.cutoff}"
 
 
-def _repeated_ids(raw: Extract, cfg: Config) -> DataFrame:
+def _repeated_ids(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
     return repeated_keys(raw.transactions, "txn_id")
 
 
-def _unknown_branch(raw: Extract, cfg: Config) -> DataFrame:
+def _unknown_branch(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
     return orphans(raw.accounts, "branch_code", raw.branches, "branch_code")
 
 
@@ -53,17 +53,19 @@ def _ledger(raw: Extract) -> DataFrame:
     return raw.closing_balances.selectExpr("account_id", f"{money('closing_balance')} AS closing")
 
 
-def _overdrawn_savings(raw: Extract, cfg: Config) -> DataFrame:
+def _overdrawn_savings(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
     savings = raw.accounts.where("account_type = 'SAVINGS'").select("account_id")
     return _ledger(raw).where("closing < 0").join(savings, "account_id")
 
 
-def _wrong_closing(raw: Extract, cfg: Config) -> DataFrame:
-    expected = expected_balances(raw, cfg).select("account_id", "expected_closing")
+def _wrong_closing(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
+    if balances is None:
+        balances = expected_balances(raw, valid_transactions(raw, cfg))
+    expected = balances.select("account_id", "expected_closing")
     return _ledger(raw).join(expected, "account_id").where("closing <> expected_closing")
 
 
-def _minor_with_current_account(raw: Extract, cfg: Config) -> DataFrame:
+def _minor_with_current_account(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
     holders = raw.accounts.where("account_type = 'CURRENT'").select("customer_id").distinct()
     came_of_age = f"{cfg.as_of_date} - INTERVAL '{cfg.adult_years}' YEAR"
     minors = raw.customers.where(f"{calendar_date('date_of_birth')} > {came_of_age}")
@@ -104,16 +106,19 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "rule_id string, dimension string, `table` string, description string")
 
 
-def findings(raw: Extract, cfg: Config, rule_ids: Iterable[str] = RULE_IDS) -> DataFrame:
+def findings(
+    raw: Extract, cfg: Config, rule_ids: Iterable[str] = RULE_IDS, balances: DataFrame | None = None
+) -> DataFrame:
     """(rule_id, key) of the chosen rules; row rules on one table share its scan.
 
     Transaction rules and CON-03 report a key once, the others once per bad row.
+    CON-02 compares with ``balances``, the expected balances, where a job has them already.
     """
     wanted = [r for r in RULES if r.rule_id in set(rule_ids)]
     parts = []
     for rule in wanted:
         if rule.find:
-            found = rule.find(raw, cfg).selectExpr(f"'{rule.rule_id}' AS rule_id", f"{rule.key} AS key")
+            found = rule.find(raw, cfg, balances).selectExpr(f"'{rule.rule_id}' AS rule_id", f"{rule.key} AS key")
             parts.append(found.distinct() if rule.distinct else found)
     for table in ("transactions", "customers"):
         group = [r for r in wanted if r.failed and r.table == table]

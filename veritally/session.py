@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +23,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """Cut the lineage through the cluster's shared checkpoint folder."""
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; a temporary one only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="veritally-"))
-    return rows.checkpoint()
+        folder = tempfile.mkdtemp(prefix="veritally-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Write rows to the shared folder and read them back: later jobs start from the files."""
+    path = f"{shared_folder(rows.sparkSession)}/veritally/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

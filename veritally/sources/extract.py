@@ -52,12 +52,18 @@ def text_schema(table: str, arrival: str | None = None) -> str:
     return ", ".join(f"{c} string" for c in columns)
 
 
-def read_extract(spark: SparkSession, folder: str, arrival: str | None = None) -> Extract:
-    """``<folder>/<table>.csv`` (a file or a folder of files) with a header; empty means NULL."""
+def read_extract(
+    spark: SparkSession, folder: str, arrival: str | None = None, line_breaks: bool = False
+) -> Extract:
+    """``<folder>/<table>.csv`` (a file or a folder of files) with a header; empty means NULL.
+
+    With ``line_breaks`` quoted values may span lines; Spark then reads each file in one task,
+    so such an extract should come in many files.
+    """
 
     def read(table: str) -> DataFrame:
         reader = spark.read.schema(text_schema(table, arrival)).option("header", True)
-        rows = reader.option("escape", '"').csv(f"{folder}/{table}.csv")
+        rows = reader.option("escape", '"').option("multiLine", line_breaks).csv(f"{folder}/{table}.csv")
         if arrival and table == "transactions":
             rows = rows.withColumn(arrival, F.col(arrival).cast("long"))
         return rows
