@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -39,3 +41,10 @@ def written(rows: DataFrame) -> DataFrame:
     path = f"{shared_folder(rows.sparkSession)}/veritally/{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def written_together(frames: list[DataFrame]) -> list[DataFrame]:
+    """Write frames that do not depend on each other as concurrent jobs."""
+    shared_folder(frames[0].sparkSession)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(inheritable_thread_target(written), frames))
