@@ -5,9 +5,14 @@ from dataclasses import replace
 import pytest
 from month import CFG
 
+from veritally.config import Runs
 from veritally.operators.copies import mark_copies
 from veritally.operators.members import mark_member, orphans
 from veritally.operators.samples import first_n
+from veritally.plans.pipeline import Pipeline
+from veritally.plans.reconcile import Checks, Source
+from veritally.plans.rules import findings
+from veritally.sources.extract import Extract
 
 ROWS = """
 SELECT CASE WHEN id % 3 = 0 THEN {hot} WHEN id % 3 = 1 THEN concat('D', id div 30) ELSE concat('T', id) END AS txn_id,
@@ -49,6 +54,48 @@ def test_lane_sizes_stay_near_the_limit(spark):
     assert max(r["count"] for r in hot.groupBy("lane").count().collect()) <= 60
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plan as if no table were small."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+BIG = replace(CFG, one_task_bytes=0, hot_rows=50)
+
+
+@pytest.mark.parametrize("known", [[("HOT",), ("T2",)], [("T2",)], [(None,)]])
+@pytest.mark.parametrize("hot", ["'HOT'", "NULL"])
+def test_large_member_lists_with_a_hot_key(spark, no_broadcast, known, hot):
+    given = rows(spark, hot, "id")
+    members = spark.createDataFrame(known * 2, "k string")
+    lanes = mark_member(given, "txn_id", members, "k", "ok", BIG)
+    plain = mark_member(given, "txn_id", members, "k", "ok")
+    assert lanes.columns == plain.columns
+    assert lanes.exceptAll(plain).isEmpty() and plain.exceptAll(lanes).isEmpty()
+    assert lanes.count() == 3000
+
+
+def test_pipeline_and_checks_at_a_size_where_nothing_is_small(spark, dirty, cfg, no_broadcast):
+    """A third of the rows repeat one id on one account; every join is shuffled."""
+    hot = dirty.transactions.where("status = 'SUCCESS'").orderBy("txn_id").limit(1)
+    third = hot.crossJoin(spark.range(500)).drop("id")
+    skewed = Extract(**{**dirty._sources, "transactions": lambda: dirty.transactions.unionByName(third)})
+    big = replace(cfg, one_task_bytes=0, hot_rows=40)
+    reasons = {}
+    for name, settings in (("plain", cfg), ("lanes", big)):
+        out = Pipeline(skewed, settings, Runs.single())
+        reasons[name] = {r.reject_reason: r["count"] for r in out.quarantine.groupBy("reject_reason").count().collect()}
+        if name == "lanes":
+            results = Checks(Source(skewed, settings), out).results().collect()
+            assert len(results) == 7 and all(r.passed for r in results)
+    assert reasons["plain"] == reasons["lanes"] and reasons["lanes"]["DUPLICATE"] == 510
+    found = findings(skewed, big)
+    assert found.exceptAll(findings(skewed, cfg)).isEmpty() and found.where("rule_id = 'UNQ-01'").count() in (10, 11)
+
+
 def test_members_and_orphans_with_a_hot_key(spark):
     given = rows(spark, "'HOT'", "id")
     known = spark.createDataFrame([("HOT",), ("HOT",), (None,), ("T2",)], "k string")

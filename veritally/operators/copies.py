@@ -7,28 +7,22 @@ from pyspark.sql import functions as F
 
 from veritally.config import Config
 from veritally.operators.frames import aggregate
-
-
-def estimated_bytes(rows: DataFrame) -> int:
-    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+from veritally.operators.sizes import fits_one_task, hot_keys, lane_of_hot_row
 
 
 def mark_copies(rows: DataFrame, key: str, order: str, cfg: Config) -> DataFrame:
     """Add ``is_copy``: false for the first row of each key, true for every other.
 
     Keys up to ``cfg.hot_rows`` rows are ranked by one window, one shuffle. A key
-    beyond that (there are at most rows / hot_rows of them, so their list is small
-    enough to broadcast) is ranked in lanes, and the lane winners once more. With
-    no hot key AQE drops that second branch before it scans anything.
+    beyond that is ranked in lanes, and the lane winners once more. With no hot key
+    AQE drops that second branch before it scans anything.
     """
-    if estimated_bytes(rows) <= cfg.one_task_bytes:
+    if fits_one_task(rows, cfg):
         return _ranked(rows, key, order)
-    counted = aggregate(rows, [f"{key} AS hot_key"], "count(*) AS hot_n")
-    hot = F.broadcast(counted.where(f"hot_n > {cfg.hot_rows}"))
+    hot = F.broadcast(hot_keys(rows, key, cfg))
     is_hot = rows[key].eqNullSafe(hot["hot_key"])
     cold = _ranked(rows.join(hot, is_hot, "left_anti"), key, order)
-    lanes = f"pmod(monotonically_increasing_id(), CAST(ceil(hot_n / {cfg.hot_rows}) AS BIGINT)) AS lane"
-    in_lanes = _ranked(rows.join(hot, is_hot).selectExpr("*", lanes), f"{key}, lane", order)
+    in_lanes = _ranked(rows.join(hot, is_hot).selectExpr("*", f"{lane_of_hot_row(cfg)} AS lane"), f"{key}, lane", order)
     # Winners of all lanes meet in lane -1; the other rows stay spread out.
     met = in_lanes.selectExpr("* EXCEPT (is_copy, lane)", "if(is_copy, lane, -1L) AS lane")
     final = _ranked(met, f"{key}, lane", order).selectExpr(

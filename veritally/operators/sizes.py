@@ -1,0 +1,35 @@
+"""What the optimizer knows about sizes, and the keys too frequent for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from veritally.config import Config
+from veritally.operators.frames import aggregate
+
+
+def estimated_bytes(rows: DataFrame) -> int:
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_broadcast(rows: DataFrame) -> bool:
+    """Whether Catalyst will broadcast these rows by their estimated size."""
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(rows) <= limit
+
+
+def fits_one_task(rows: DataFrame, cfg: Config) -> bool:
+    return estimated_bytes(rows) <= cfg.one_task_bytes
+
+
+def hot_keys(rows: DataFrame, key: str, cfg: Config) -> DataFrame:
+    """(hot_key, hot_n): keys with more than ``cfg.hot_rows`` rows.
+
+    There are at most rows / hot_rows of them, so the list is small enough to broadcast.
+    """
+    return aggregate(rows, [f"{key} AS hot_key"], "count(*) AS hot_n").where(f"hot_n > {cfg.hot_rows}")
+
+
+def lane_of_hot_row(cfg: Config) -> str:
+    """Spread the rows of a hot key over lanes of about ``cfg.hot_rows`` rows."""
+    return f"pmod(monotonically_increasing_id(), CAST(ceil(hot_n / {cfg.hot_rows}) AS BIGINT))"

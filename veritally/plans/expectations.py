@@ -104,9 +104,9 @@ def evaluate(raw: Extract, suite: str, cfg: Config) -> DataFrame:
     flagged = rows
     if suite == "transactions":
         currencies = valid_currencies(raw, cfg.base_currency)
-        flagged = mark_member(rows, "currency", currencies, "currency", "currency_known")
+        flagged = mark_member(rows, "currency", currencies, "currency", "currency_known", cfg)
     elif suite == "accounts":
-        flagged = mark_member(rows, "branch_code", raw.branches, "branch_code", "branch_code_known")
+        flagged = mark_member(rows, "branch_code", raw.branches, "branch_code", "branch_code_known", cfg)
     chosen = list(enumerate(e for e in EXPECTATIONS if e.suite == suite))
     by_row = [(i, e) for i, e in chosen if e.kind != UNIQUE]
     repeated = {

@@ -43,7 +43,7 @@ class Pipeline:
         rows = raw.transactions.selectExpr("*", f"{utc_timestamp('txn_ts')} AS ts_utc")
         order = copy_order("ts_utc", cfg.arrival)
         rows = mark_copies(rows, "txn_id", order, cfg).selectExpr("*", f"{money('amount')} AS amt")
-        return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
+        return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known", cfg)
 
     @property
     def _bad_time(self) -> str:
@@ -58,7 +58,7 @@ class Pipeline:
     def classified(self) -> DataFrame:
         """Every raw row with its reason for rejection (NULL: accepted) and business day."""
         raw, on = self.raw, self.runs.on
-        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known")
+        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known", self.cfg)
         reason = f"""CASE WHEN is_copy AND NOT {on('PIPE-01')} THEN 'DUPLICATE'
                           WHEN NOT currency_known THEN 'INVALID_CURRENCY'
                           WHEN {BAD_AMOUNT} THEN 'NON_POSITIVE_AMOUNT'

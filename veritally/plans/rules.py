@@ -46,7 +46,7 @@ def _repeated_ids(raw: Extract, cfg: Config, balances: DataFrame | None) -> Data
 
 
 def _unknown_branch(raw: Extract, cfg: Config, balances: DataFrame | None) -> DataFrame:
-    return orphans(raw.accounts, "branch_code", raw.branches, "branch_code")
+    return orphans(raw.accounts, "branch_code", raw.branches, "branch_code", cfg)
 
 
 def _ledger(raw: Extract) -> DataFrame:
@@ -132,9 +132,9 @@ def _row_findings(raw: Extract, cfg: Config, group: list[Rule]) -> DataFrame:
     rows, key = getattr(raw, group[0].table), group[0].key
     flags = {r.flag for r in group}
     if "currency_known" in flags:
-        rows = mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
+        rows = mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known", cfg)
     if "account_known" in flags:
-        rows = mark_member(rows, "account_id", raw.accounts, "account_id", "account_known")
+        rows = mark_member(rows, "account_id", raw.accounts, "account_id", "account_known", cfg)
     if len(group) == 1:
         return rows.where(group[0].failed(cfg)).selectExpr(f"'{group[0].rule_id}' AS rule_id", f"{key} AS key")
     hits = ", ".join(f"if({r.failed(cfg)}, '{r.rule_id}', NULL)" for r in group)

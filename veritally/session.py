@@ -47,4 +47,4 @@ def written_together(frames: list[DataFrame]) -> list[DataFrame]:
     """Write frames that do not depend on each other as concurrent jobs."""
     shared_folder(frames[0].sparkSession)
     with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(inheritable_thread_target(written), frames))
+        return list(pool.map(inheritable_thread_target(frames[0].sparkSession)(written), frames))
