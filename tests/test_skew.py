@@ -44,7 +44,9 @@ def test_lanes_agree_with_one_window(spark, hot, content):
 def test_no_hot_key_means_no_second_branch(spark):
     given = spark.range(5000).selectExpr("concat('T', id) AS txn_id", "id AS ts")
     marked = mark_copies(given, "txn_id", "ts", replace(CFG, one_task_bytes=0))
-    marked.write.format("noop").mode("overwrite").save()
+    marked.collect()
+    final = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")
+    assert "lane" in final[1] and "lane" not in final[0]
     assert marked.count() == 5000 and marked.where("is_copy").isEmpty()
 
 
@@ -74,6 +76,7 @@ def test_large_member_lists_with_a_hot_key(spark, no_broadcast, known, hot):
     lanes = mark_member(given, "txn_id", members, "k", "ok", BIG)
     plain = mark_member(given, "txn_id", members, "k", "ok")
     assert lanes.columns == plain.columns
+    assert "hashpartitioning(place" in lanes._jdf.queryExecution().executedPlan().toString()
     assert lanes.exceptAll(plain).isEmpty() and plain.exceptAll(lanes).isEmpty()
     assert lanes.count() == 3000
 

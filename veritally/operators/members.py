@@ -38,8 +38,10 @@ def mark_member(
         rows.join(F.broadcast(hot), rows[key] == hot["hot_key"], "left")
         .selectExpr("*", f"if(hot_key IS NULL, -1L, {lane_of_hot_row(cfg)}) AS lane")
         .join(F.broadcast(hot_members), key, "left")
+        .selectExpr("*", f"struct({key}, lane) AS place")
     )
-    joined = spread.join(marked.selectExpr("*", "-1L AS lane"), [key, "lane"], "left")
+    # One struct as the key: of two columns, Catalyst would turn the constant lane into a filter.
+    joined = spread.join(known.selectExpr(f"struct({key}, -1L AS lane) AS place", "true AS is_member"), "place", "left")
     return joined.selectExpr(
         *[f"`{c}`" for c in rows.columns], f"coalesce(is_member, is_hot_member) IS NOT NULL AS {flag}")
 

@@ -41,8 +41,8 @@ def build_report(
     found = written_table(rules.findings(raw, cfg, balances=source.balances), f"{tables}/findings")
     out.quarantine = written_table(out.quarantine, f"{tables}/quarantine_transactions")
     out.staging = written_table(out.staging, f"{tables}/stg_transactions")
-    out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", "report_date")
-    out.balances = written_table(out.balances, f"{tables}/rpt_account_balances")
+    out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", ("report_date", "branch_code"), "report_date")
+    out.balances = written_table(out.balances, f"{tables}/rpt_account_balances", ("account_id",))
     checks = Checks(source, out)
     by_rule = score.rule_scores(raw, found)
     by_dimension = score.dimension_scores(by_rule)
@@ -50,16 +50,16 @@ def build_report(
     sections = {
         "run": aggregate(out.daily, [], "count(*) AS report_rows").selectExpr(
             f"'{cfg.as_of}' AS as_of", f"CAST(array({ids}) AS ARRAY<STRING>) AS pipeline_faults", "report_rows"),
-        "counts": counts(raw),
+        "counts": counts(raw).orderBy("table"),
         "score": score.overall_score(by_dimension),
-        "dimensions": by_dimension,
-        "rules": by_rule,
-        "grading": score.grade(found, manifest),
-        "daily": score.daily_scores(raw, found, cfg),
-        "expectations": expectations.evaluate_all(raw, cfg),
-        "reconciliation": checks.results().drop("run"),
-        "mismatches": checks.samples().drop("run"),
-        "quarantine": quarantine_breakdown(out.quarantine),
+        "dimensions": by_dimension.orderBy("dimension"),
+        "rules": by_rule.orderBy("rule_id"),
+        "grading": score.grade(found, manifest).orderBy("rule_id"),
+        "daily": score.daily_scores(raw, found, cfg).orderBy("date"),
+        "expectations": expectations.evaluate_all(raw, cfg).orderBy("suite", "column", "expectation"),
+        "reconciliation": checks.results().drop("run").orderBy("check_id"),
+        "mismatches": checks.samples().drop("run").orderBy("check_id", "issue", "place"),
+        "quarantine": quarantine_breakdown(out.quarantine).orderBy("reject_reason"),
     }
     write_sections(sections, f"{folder}/report")
     return sections

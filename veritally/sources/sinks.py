@@ -7,9 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-def written_table(rows: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write parquet and read it back, so later jobs start from the files."""
-    writer = rows.write.mode("overwrite")
+def written_table(rows: DataFrame, path: str, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
+    """Write parquet and read it back, so later jobs start from the files.
+
+    Files are sorted by ``order``. With ``partition_by`` each value is one folder with one
+    file, which suits report tables of bounded size.
+    """
+    if partition_by:
+        rows = rows.repartition(partition_by)
+    writer = (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
