@@ -12,7 +12,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 from veritally.plans import inject  # noqa: E402
 from veritally.session import configure, written  # noqa: E402
 from veritally.sources import driver_tables  # noqa: E402
-from veritally.sources.extract import COLUMNS, Extract  # noqa: E402
+from veritally.sources.extract import landed  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -38,14 +38,9 @@ def cfg():
     return driver_tables.CONFIG
 
 
-def _files(extract: Extract) -> Extract:
-    tables = {name: written(getattr(extract, name)) for name in COLUMNS}
-    return Extract(**{name: lambda rows=rows: rows for name, rows in tables.items()})
-
-
 @pytest.fixture(scope="session")
 def clean(spark):
-    return _files(driver_tables.clean_extract(spark, SF_DIR))
+    return landed(driver_tables.clean_extract(spark, SF_DIR), written)
 
 
 @pytest.fixture(scope="session")
@@ -55,7 +50,7 @@ def planted(clean, cfg):
 
 @pytest.fixture(scope="session")
 def dirty(planted):
-    return _files(planted.dirty)
+    return landed(planted.dirty, written)
 
 
 @pytest.fixture(scope="session")

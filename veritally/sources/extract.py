@@ -47,6 +47,11 @@ class Extract:
         return rows
 
 
+def landed(extract: Extract, written: Callable[[DataFrame], DataFrame]) -> Extract:
+    """The same extract, each table written once when it is first asked for."""
+    return Extract(**{table: lambda t=table: written(getattr(extract, t)) for table in COLUMNS})
+
+
 def text_schema(table: str, arrival: str | None = None) -> str:
     columns = COLUMNS[table] + ([arrival] if arrival and table == "transactions" else [])
     return ", ".join(f"{c} string" for c in columns)
