@@ -38,7 +38,8 @@ def unit_hash(*columns: Column | str) -> Column:
 
 
 def cumulative_pick(
-    rows: DataFrame, group: str, place: str, size: str, quota: DataFrame, ties: list[str], bins: int = 4096
+    rows: DataFrame, group: str, place: str, size: str, quota: DataFrame, ties: list[str], nearest: bool,
+    bins: int = 4096,
 ) -> DataFrame:
     """Add ``picked``: rows of each group in order of ``place`` until their sizes reach the quota.
 
@@ -64,7 +65,8 @@ def cumulative_pick(
     within = Window.partitionBy("_group", "_bin").orderBy(place, *ties).rowsBetween(Window.unboundedPreceding, -1)
     at_end = marked.where("_bin = _end_bin").withColumn(
         "_before_row", F.col("_end_before") + F.coalesce(F.sum(size).over(within), F.lit(0)))
-    at_end = at_end.withColumn("picked", F.expr(f"2 * (_quota - _before_row) >= {size} AND _quota > _before_row"))
+    most = "2 * (_quota - _before_row)" if nearest else "_quota - _before_row"
+    at_end = at_end.withColumn("picked", F.expr(f"{size} <= {most}"))
     others = marked.where("_bin IS DISTINCT FROM _end_bin").withColumn(
         "picked", F.expr("_quota IS NOT NULL AND (_end_bin IS NULL OR _bin < _end_bin)"))
     wanted = [*rows.columns, "picked"]

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import quality
+from veritally.llm import decontamination, mixing, quality
 from veritally.llm.common import table
+from veritally.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +18,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "__quality.*")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = mixing.with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+    mixed = mixing.mix_documents(written(sized))
+    return mixed.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "source", "copies")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules,)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op10_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
