@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veritally.llm import files
 from veritally.session import configure
 
 #: Between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -15,7 +16,10 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    # Rows a Python worker holds at once: long texts must not add up.
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    files.ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

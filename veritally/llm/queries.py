@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import decontamination, mixing, quality
+from veritally.llm import decontamination, mixing, quality, token_shards
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -24,12 +24,22 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "source", "copies")
 
 
+def word_pieces() -> token_shards.Encoding:
+    import public_tokenizers
+
+    return token_shards.Encoding(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.encode_documents(table(spark, sf_dir, "documents"), word_pieces())
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op7_token_shards, op10_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
