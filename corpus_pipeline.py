@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import quality
-from veritally.llm.common import table
-from veritally.session import configure, written
+from veritally.llm import decontamination, mixing, ngram_join, quality, token_shards
+from veritally.llm.common import prepare, table
+from veritally.llm.queries import word_pieces
+from veritally.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +19,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality rules", quality_rules)]
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    prepare(spark)
+    return ngram_join.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by ``benchmark``."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once, or up to three times."""
+    prepare(spark)
+    return mixing.mixed_rows(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix encoded and written as grammar blocks; returned is what reading them back gives."""
+    prepare(spark)
+    return token_shards.encode_documents(docs, word_pieces())
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", source_mix),
+    ("token-ID output", token_output),
+]
 
 #: No stage is expressible as a whole in DuckDB SQL (hashes, MinHash, Newton steps, tokenizer).
 ORACLE_SQL = None
@@ -26,7 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))
     return docs

@@ -15,11 +15,17 @@ SPACES = r"[\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the operators rely on, and this package on the Python workers."""
+    configure(spark)
     # Rows a Python worker holds at once: long texts must not add up.
-    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     files.ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

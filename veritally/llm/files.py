@@ -31,7 +31,7 @@ def create(folder: str, suffix: str):
     path = f"{folder}/{uuid.uuid4().hex}{suffix}"
     system, name = _at(path)
     system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    return path, system.open_output_stream(name)
+    return path, system.open_output_stream(name, compression=None)
 
 
 def open_for_reading(path: str):

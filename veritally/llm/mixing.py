@@ -135,6 +135,10 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), size: str = "size") -> Data
                        (F.col("_whole") + F.col("picked").cast("int")).cast("int").alias("copies"))
 
 
-def repeated(mixed: DataFrame) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    return mixed.withColumn("_copy", F.explode(F.expr("IF(copies > 0, sequence(1, copies), array())"))).drop("_copy")
+def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """Each row of ``docs``, all its columns unchanged, as many times as the mix takes it."""
+    packed = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    mixed = mix_documents(written(packed), mix)
+    taken = mixed.where("copies > 0").select("row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
+    return taken.select("row.*")

@@ -138,9 +138,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qu
     failed = F.expr(f"__n_words < {rules.least_words} OR "
                     f"100 * __n_repeat_words > {rules.most_repeated_percent} * __n_words")
     counted = [F.col(f"__{n}").alias(n) for n in COUNTS]
-    return found.select(*docs.columns, F.struct(
-        *counted, failed.alias("base_failed"),
-        (~failed & (F.col("__ratio") >= rules.least_ratio)).alias("kept")).alias("__quality"))
+    judged = F.struct(*counted, failed.alias("base_failed"),
+                      (~failed & (F.col("__ratio") >= rules.least_ratio)).alias("kept"))
+    # Exploded, so that no filter on the verdict is pushed into the steps above.
+    return found.select(*docs.columns, F.explode(F.array(judged)).alias("__quality"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import decontamination, mixing, ngram_join, quality, token_shards
+from veritally.llm import decontamination, mixing, ngram_join, quality, sharding, token_shards, warc_bundles
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -24,6 +24,14 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "source", "copies")
 
 
+def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.archive(table(spark, sf_dir, "pages"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,7 +51,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op6_ngram_jaccard_join, op7_token_shards, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op10_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
