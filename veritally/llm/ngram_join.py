@@ -188,7 +188,8 @@ def near_duplicates(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFr
     sent = placed.selectExpr("*", "explode(sequence(0, blocks - 1)) AS other").selectExpr(
         "doc", "key", "root", "copies", "block", "least(block, other) AS i", "greatest(block, other) AS j")
     read = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = read.join(sent, "doc").select("root", "i", "j", "block", "key", "copies", "text")
+    # Merged at every size: a list of texts that happens to fit a broadcast does not change the plan.
+    blocks = read.join(sent.hint("merge"), "doc").select("root", "i", "j", "block", "key", "copies", "text")
     found = written(blocks.groupBy("root", "i", "j").applyInArrow(
         lambda t: verified(t, how), "key binary, root binary, n_links long"))
 
