@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veritally.llm import decontamination, mixing, ngram_join, quality, sharding, token_shards, warc_bundles
+from veritally.llm import decontamination, licenses, mixing, ngram_join, quality, sharding, token_shards, toxicity, warc_bundles
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -24,6 +25,15 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "source", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         "n_sentences", "n_offending", "worst_start", "worst_end")
+
+
 def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -36,6 +46,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/thousand/id``; any document may state its directory's licence."""
+    docs = table(spark, sf_dir, "documents")
+    parts = ["source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string")]
+    found = licenses.scan_files(docs.select(F.concat_ws("/", *parts).alias("path"), "text", F.lit(True).alias("is_license_file")))
+    return found.withColumn("doc_id", F.substring_index("path", "/", -1).cast("long"))
+
+
 def word_pieces() -> token_shards.Encoding:
     import public_tokenizers
 
@@ -51,7 +69,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_toxicity, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op9_license_scan, op10_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
