@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import decontamination, licenses, mixing, ngram_join, quality, sharding, token_shards, toxicity, warc_bundles
+from veritally.llm import decontamination, licenses, mixing, ngram_join, quality, sharding, suffix_dedup, token_shards, toxicity, warc_bundles
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -46,6 +46,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files ``source/lang/thousand/id``; any document may state its directory's licence."""
     docs = table(spark, sf_dir, "documents")
@@ -69,7 +73,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_toxicity, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op9_license_scan, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_toxicity, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op8_suffix_dedup, op9_license_scan, op10_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
