@@ -144,7 +144,7 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
         if width > gram:
             break
         h = h[:-(width // 2)] * base + h[width // 2:]
-        base = base * base
+        base = (np.array([base]) * base)[0]  # arrays wrap around without a warning
     out = (out ^ out >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
     return out ^ out >> np.uint64(32)
 

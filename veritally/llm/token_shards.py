@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +101,7 @@ class Tokens:
         if len(self.places) > MOST_CACHED:
             self._clear()
         found = [PIECE.findall(t.lower()) if ok else () for t, ok in zip(texts, usual)]
-        at = np.fromiter((n for x in found for n in map(self.places.__getitem__, x)), np.int64, sum(map(len, found)))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(found)), np.int64, sum(map(len, found)))
         self._learn()
         lengths = self.length[at]
         bounds = np.concatenate([[0], np.cumsum(lengths)])
@@ -163,6 +164,10 @@ def compress(ids: np.ndarray, ends: np.ndarray, vocabulary: int, how: Encoding):
         opens[list(starts)] = True
         at = np.flatnonzero(opens[symbols[:-1]] & inner)
         pair = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1].astype(np.uint64)
+        closes = np.zeros(size, bool)
+        closes[list(seconds)] = True
+        able = closes[symbols[at + 1]]
+        at, pair = at[able], pair[able]
         rule = np.searchsorted(keys, pair)
         same = keys[np.minimum(rule, len(keys) - 1)] == pair
         at, rule = at[same], rule[same]
