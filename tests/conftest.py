@@ -44,8 +44,8 @@ def clean(spark):
 
 
 @pytest.fixture(scope="session")
-def planted(clean, cfg):
-    return inject.Planted(clean, cfg)
+def planted(spark, clean, cfg):
+    return inject.Planted(clean, cfg, natural=driver_tables.natural_transactions(spark, SF_DIR, cfg))
 
 
 @pytest.fixture(scope="session")

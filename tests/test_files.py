@@ -2,7 +2,8 @@
 
 import json
 
-from month import account, customer, extract, txn
+import pytest
+from month import CFG, account, customer, extract, txn, write_csv
 
 from veritally.config import Config
 from veritally.plans.report import build_report
@@ -20,6 +21,48 @@ def test_every_column_is_text_and_empty_is_null(spark, tmp_path):
     assert (person.email, person.phone) == (None, 'quo"ted, comma')
 
 
+def _turned(header, rows, order):
+    return [header[i] for i in order], [[r[i] for i in order] for r in rows]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    raw = extract(spark, tmp_path, [txn(), txn("T2", amount="7.00")])
+    wanted = sorted(raw.transactions.collect())
+    header, rows = COLUMNS["transactions"], [txn(), txn("T2", amount="7.00")]
+    write_csv(tmp_path / "transactions.csv", *_turned(header, rows, range(len(header) - 1, -1, -1)))
+    assert sorted(read_extract(spark, str(tmp_path)).transactions.collect()) == wanted
+    write_csv(tmp_path / "transactions.csv", ["note", *header], [["x", *r] for r in rows])
+    assert sorted(read_extract(spark, str(tmp_path)).transactions.collect()) == wanted
+    write_csv(tmp_path / "transactions.csv", header[:-1], [r[:-1] for r in rows])
+    with pytest.raises(ValueError, match="status"):
+        read_extract(spark, str(tmp_path)).transactions  # noqa: B018
+
+
+def test_files_with_other_headers_fail_or_are_sorted_out(spark, tmp_path):
+    raw = extract(spark, tmp_path, [txn(), txn("T2", amount="7.00")])
+    wanted = sorted(raw.transactions.collect())
+    (tmp_path / "transactions.csv").rename(tmp_path / "all.csv")
+    folder = tmp_path / "transactions.csv"
+    folder.mkdir()
+    header = COLUMNS["transactions"]
+    write_csv(folder / "1.csv", header, [txn()])
+    write_csv(folder / "2.csv", *_turned(header, [txn("T2", amount="7.00")], [3, 0, 1, 2, 8, 7, 6, 5, 4]))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_extract(spark, str(tmp_path)).transactions.collect()
+    assert sorted(read_extract(spark, str(tmp_path), mixed_headers=True).transactions.collect()) == wanted
+
+
+def test_absurd_values_are_shown_not_fatal(spark, tmp_path):
+    from veritally.plans import expectations
+
+    odd = ["99999999999999999999", "1e300", "Infinity", "-5"]
+    rows = [txn(f"T{i}", amount=a) for i, a in enumerate(odd)] + [txn("T9", ts="9999-12-31T23:00:00Z")]
+    results = {(r.expectation, r.column): r for r in expectations.evaluate(extract(spark, tmp_path, rows), "transactions", CFG).collect()}
+    between = results[expectations.BETWEEN, "amount_num"]
+    assert between.unexpected_count == 4 and None not in between.sample and "-5.00" in between.sample
+    assert results[expectations.BETWEEN, "txn_ts_utc"].unexpected_count == 1
+
+
 def test_extract_round_trip(spark, dirty, tmp_path):
     write_extract(dirty, str(tmp_path))
     again = read_extract(spark, str(tmp_path))

@@ -67,8 +67,9 @@ def money_text(amount: str) -> str:
     return f"CAST(CAST({amount} AS DECIMAL(18, 2)) AS STRING)"
 
 
-def slug(text: str) -> str:
-    return f"coalesce(nullif(regexp_replace(lower({text}), '[^a-z]', ''), ''), 'user')"
+def number_text(value: str) -> str:
+    """Money with its hundredths; a number beyond that, or none, as it is."""
+    return f"coalesce(CAST(try_cast({value} AS DECIMAL(18, 2)) AS STRING), CAST({value} AS STRING))"
 
 
 def rotate(choices: list[str], turn: str) -> str:

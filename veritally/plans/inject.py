@@ -22,6 +22,8 @@ DEFECT_RULES = {
     "DQ-05": "INT-01", "DQ-06": "TML-01", "DQ-07": "VAL-03", "DQ-08": "VAL-04",
     "DQ-09": "CON-01", "DQ-10": "CON-02", "DQ-11": "CON-03", "DQ-12": "INT-02",
 }
+# Rows that come with the source and break a rule without being planted.
+NATURAL_RULES = {"NAT-01": "VAL-02", "NAT-02": "TML-01"}
 # One in so many keys carries the defect: those with ``key % modulus == remainder``.
 PICKS = {
     "DQ-01": (97, 5), "DQ-02": (25, 1), "DQ-03": (101, 7), "DQ-04": (211, 11),
@@ -129,9 +131,13 @@ def bad_closing(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataFra
 
 
 class Planted:
-    """A clean extract with defects: the ``dirty`` extract and its manifest."""
+    """A clean extract with defects: the ``dirty`` extract and its manifest.
 
-    def __init__(self, clean: Extract, cfg: Config, spec: Defects = Defects()):
+    ``natural`` are transactions of the source that are no clean ones, each with its ``defects``.
+    """
+
+    def __init__(self, clean: Extract, cfg: Config, spec: Defects = Defects(), natural: DataFrame | None = None):
+        self.natural = natural
         self.tagged = Extract(
             transactions=lambda: bad_transactions(clean.transactions, spec, cfg),
             customers=lambda: bad_customers(clean.customers, clean.accounts, spec),
@@ -141,20 +147,26 @@ class Planted:
         self.dirty = Extract(
             branches=lambda: clean.branches,
             fx_rates=lambda: clean.fx_rates,
-            transactions=lambda: self.tagged.transactions.drop("defect_id"),
+            transactions=lambda: self._delivered(),
             customers=lambda: self.tagged.customers.drop("defects"),
             accounts=lambda: self.tagged.accounts.drop("defects"),
             closing_balances=lambda: self.tagged.closing_balances.drop("defects"),
         )
 
+    def _delivered(self) -> DataFrame:
+        rows = self.tagged.transactions.drop("defect_id")
+        return rows if self.natural is None else rows.unionByName(self.natural.drop("defects"))
+
     def manifest(self) -> DataFrame:
-        """One row (defect_id, rule_id, key) per planted key."""
+        """One row (defect_id, rule_id, key) per planted or natural key."""
         planted = self.tagged.transactions.where("defect_id IS NOT NULL")
         parts = [planted.selectExpr("defect_id", "txn_id AS key")]
         for rows, key in ((self.tagged.customers, "customer_id"), (self.tagged.accounts, "account_id"),
                           (self.tagged.closing_balances, "account_id")):
             parts.append(rows.selectExpr("explode(defects) AS defect_id", f"{key} AS key"))
-        rules = ", ".join(f"{quoted(d)}, {quoted(r)}" for d, r in DEFECT_RULES.items())
+        if self.natural is not None:
+            parts.append(self.natural.selectExpr("explode(defects) AS defect_id", "txn_id AS key"))
+        rules = ", ".join(f"{quoted(d)}, {quoted(r)}" for d, r in (DEFECT_RULES | NATURAL_RULES).items())
         return stacked(parts).distinct().selectExpr("defect_id", f"map({rules})[defect_id] AS rule_id", "key")
 
 

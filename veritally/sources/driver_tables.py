@@ -1,7 +1,8 @@
 """The banking extract, derived from the TPC-H-like tables by column expressions.
 
 A customer is one customer with one account, an event is one transaction, a nation
-is one branch. Clean rows only; :mod:`veritally.plans.inject` adds the defects.
+is one branch. The clean extract leaves out events that are late or move no money; those reach the dirty
+extract as they are, next to the defects that :mod:`veritally.plans.inject` adds.
 """
 
 from __future__ import annotations
@@ -77,11 +78,16 @@ def accounts(customer: DataFrame) -> DataFrame:
     )
 
 
-def transactions(events: DataFrame, cfg: Config = CONFIG) -> DataFrame:
+def in_period(cfg: Config) -> str:
+    """What makes an event a clean transaction."""
+    return f"coalesce(ts < TIMESTAMP_NTZ'{cfg.cutoff_utc}' AND CAST(value AS DECIMAL(18, 2)) > 0, false)"
+
+
+def transactions(events: DataFrame, *carried: str) -> DataFrame:
     amount = "CAST(value AS DECIMAL(18, 2))"
     foreign = "event_id % 33 = 2"
     paid_out = "event_id % 5 IN (3, 4) OR event_type IN ('purchase', 'error')"
-    return events.where(f"ts < TIMESTAMP_NTZ'{cfg.cutoff_utc}' AND {amount} > 0").selectExpr(
+    return events.selectExpr(
         f"concat('T', {zero_padded('event_id', 8)}) AS txn_id",
         f"concat('ACC-', {zero_padded('user_id', 6)}) AS account_id",
         f"{iso_utc('ts')} AS txn_ts",
@@ -92,6 +98,7 @@ def transactions(events: DataFrame, cfg: Config = CONFIG) -> DataFrame:
         "event_type AS counterparty",
         "CASE WHEN event_id % 25 = 0 THEN 'FAILED' WHEN event_id % 100 = 1 THEN 'REVERSED' "
         "ELSE 'SUCCESS' END AS status",
+        *carried,
     )
 
 
@@ -131,8 +138,21 @@ def clean_extract(spark: SparkSession, sf_dir: str, cfg: Config = CONFIG) -> Ext
         branches=lambda: branches(table(spark, sf_dir, "nation")),
         customers=lambda: customers(table(spark, sf_dir, "customer")),
         accounts=lambda: accounts(table(spark, sf_dir, "customer")),
-        transactions=lambda: transactions(table(spark, sf_dir, "events"), cfg),
+        transactions=lambda: transactions(table(spark, sf_dir, "events").where(in_period(cfg))),
         fx_rates=lambda: fx_rates(spark),
         closing_balances=lambda: closing_balances(clean.transactions, clean.accounts, clean.fx_rates, cfg),
     )
     return clean
+
+
+def natural_transactions(spark: SparkSession, sf_dir: str, cfg: Config = CONFIG) -> DataFrame:
+    """The events that the clean extract leaves out, each with the ``defects`` that keep it out.
+
+    Told from the event's own time and value, not by the rules that are to find them.
+    """
+    out = table(spark, sf_dir, "events").where(f"NOT {in_period(cfg)}")
+    late = f"ts IS NULL OR datediff(microsecond, TIMESTAMP_NTZ'{cfg.cutoff_utc}', ts) >= 0"
+    # Half a hundredth and more is rounded to money.
+    unpaid = "value IS NULL OR isnan(value) OR value < 0.005"
+    tagged = out.selectExpr("*", f"array_compact(array(IF({unpaid}, 'NAT-01', NULL), IF({late}, 'NAT-02', NULL))) AS defects")
+    return transactions(tagged, "defects")

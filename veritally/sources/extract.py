@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from veritally.operators.frames import stacked
+
 # Tables and columns of the extract, in file order.
 COLUMNS = {
     "branches": ["branch_code", "branch_name", "city"],
@@ -52,23 +54,47 @@ def landed(extract: Extract, written: Callable[[DataFrame], DataFrame]) -> Extra
     return Extract(**{table: lambda t=table: written(getattr(extract, t)) for table in COLUMNS})
 
 
-def text_schema(table: str, arrival: str | None = None) -> str:
-    columns = COLUMNS[table] + ([arrival] if arrival and table == "transactions" else [])
-    return ", ".join(f"{c} string" for c in columns)
+def _with_header(reader: DataFrameReader, files: str | list[str], wanted: list[str]) -> DataFrame:
+    """The wanted columns by their header names; Spark fails a file whose header differs from the first one's."""
+    names = reader.option("inferSchema", False).csv(files).columns
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"{files}: no column {', '.join(missing)} in the header {', '.join(names)}")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return reader.schema(schema).option("enforceSchema", False).csv(files).select(*wanted)
+
+
+def _by_header(reader: DataFrameReader, path: str) -> list[list[str]]:
+    """The files of a folder, those with the same header together."""
+    files = sorted(reader.csv(path).inputFiles())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        groups.setdefault(tuple(reader.option("inferSchema", False).csv(file).columns), []).append(file)
+    return list(groups.values())
 
 
 def read_extract(
-    spark: SparkSession, folder: str, arrival: str | None = None, line_breaks: bool = False
+    spark: SparkSession, folder: str, arrival: str | None = None, line_breaks: bool = False,
+    mixed_headers: bool = False,
 ) -> Extract:
     """``<folder>/<table>.csv`` (a file or a folder of files) with a header; empty means NULL.
 
-    With ``line_breaks`` quoted values may span lines; Spark then reads each file in one task,
-    so such an extract should come in many files.
+    Columns are found by their names in the header, in any order, others than the known ones are
+    left out, and a missing one is an error. Files of one table must agree in their header, or the read
+    fails; with ``mixed_headers`` the header of each file is looked at first. With
+    ``line_breaks`` quoted values may span lines; Spark then reads each file in one task, so such an
+    extract should come in many files.
     """
 
     def read(table: str) -> DataFrame:
-        reader = spark.read.schema(text_schema(table, arrival)).option("header", True)
-        rows = reader.option("escape", '"').option("multiLine", line_breaks).csv(f"{folder}/{table}.csv")
+        path = f"{folder}/{table}.csv"
+        wanted = COLUMNS[table] + ([arrival] if arrival and table == "transactions" else [])
+
+        def reader() -> DataFrameReader:
+            return spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+
+        groups = _by_header(reader(), path) if mixed_headers else [path]
+        rows = stacked([_with_header(reader(), files, wanted) for files in groups])
         if arrival and table == "transactions":
             rows = rows.withColumn(arrival, F.col(arrival).cast("long"))
         return rows
