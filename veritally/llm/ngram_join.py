@@ -209,7 +209,8 @@ def near_duplicates(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFr
 def keep_one(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFrame:
     """One document of each class, the one with the least id, with its own columns.
 
-    Of rows that repeat an id and a text, one stays; rows without an id all stay.
+    Of rows that repeat an id and a text, one stays; other rows of one id share its fate, and rows
+    without an id all stay.
     """
     losers = written(near_duplicates(docs, how).where("class_id <> doc_id").select(F.col("doc_id").alias("_lost")).distinct())
     kept = docs.join(losers, docs["doc_id"] == losers["_lost"], "left_anti")

@@ -113,7 +113,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qu
     """All columns of ``docs`` plus ``__quality``, a struct of counts, ratio and verdicts.
 
     NULL or wordless text: no words, ratio 0, rejected by the base rules. Repeated rows are scored
-    alike. A document shorter than two words has no pairs. An empty corpus gives no rows.
+    alike. A document shorter than two words has no pairs. An empty corpus gives no rows, empty labels
+    leave the base rules alone. Columns that start with two underscores are this function's own.
     """
     ratios = log_ratios(cell_counts(docs, trusted_ids(labels, rules), rules), rules).scalar()
     w, last = F.col("__w"), F.size("__w") - 1
@@ -145,5 +146,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qu
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return score_documents(docs, labels, rules).where("__quality.kept").select(*docs.columns)
+    """The documents that pass, with their own columns, whatever these are called."""
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return score_documents(packed, labels, rules).where("__quality.kept").select("row.*")
