@@ -18,10 +18,6 @@ class Config:
     # Column holding the arrival order, where the extract has one. Without it the
     # earliest timestamp wins, ties going to the smallest row content.
     arrival: str | None = None
-    # A key with more rows than this is ranked in lanes of about this many rows.
-    hot_rows: int = 1_000_000
-    # Inputs the optimizer estimates below this fit one task whatever the skew.
-    one_task_bytes: int = 256 << 20
 
     @property
     def cutoff(self) -> str:

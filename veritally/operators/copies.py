@@ -1,37 +1,32 @@
-"""Rank the rows that share a key, one hot key included."""
+"""Mark the rows that repeat a key, one hot key included."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritally.config import Config
 from veritally.operators.frames import aggregate
-from veritally.operators.sizes import fits_one_task, hot_keys, lane_of_hot_row
 
 
-def mark_copies(rows: DataFrame, key: str, order: str, cfg: Config) -> DataFrame:
+def mark_copies(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Add ``is_copy``: false for the first row of each key, true for every other.
 
-    Keys up to ``cfg.hot_rows`` rows are ranked by one window, one shuffle. A key
-    beyond that is ranked in lanes, and the lane winners once more. With no hot key
-    AQE drops that second branch before it scans anything.
+    ``order`` lists expressions, ascending, NULL last; rows that agree in all columns are
+    interchangeable. Keys are counted first, which map tasks reduce to one row each. Only rows of repeated
+    keys go on: equal ones are counted per task, the least of each key is an aggregate, and the rest
+    are copies. One plan at every size; no key ever meets in one task.
     """
-    if fits_one_task(rows, cfg):
-        return _ranked(rows, key, order)
-    hot = F.broadcast(hot_keys(rows, key, cfg))
-    is_hot = rows[key].eqNullSafe(hot["hot_key"])
-    cold = _ranked(rows.join(hot, is_hot, "left_anti"), key, order)
-    in_lanes = _ranked(rows.join(hot, is_hot).selectExpr("*", f"{lane_of_hot_row(cfg)} AS lane"), f"{key}, lane", order)
-    # Winners of all lanes meet in lane -1; the other rows stay spread out.
-    met = in_lanes.selectExpr("* EXCEPT (is_copy, lane)", "if(is_copy, lane, -1L) AS lane")
-    final = _ranked(met, f"{key}, lane", order).selectExpr(
-        "* EXCEPT (is_copy, lane, hot_key, hot_n)", "is_copy OR lane >= 0 AS is_copy")
-    return cold.unionByName(final)
-
-
-def _ranked(rows: DataFrame, keys: str, order: str) -> DataFrame:
-    return rows.selectExpr("*", f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) > 1 AS is_copy")
+    counted = aggregate(rows, [f"{key} AS _again"], "count(*) AS _n").where("_n > 1").select("_again")
+    is_repeated = F.col(key).eqNullSafe(F.col("_again"))
+    single = rows.join(counted, is_repeated, "left_anti").selectExpr("*", "false AS is_copy")
+    names = [f"`{c}`" for c in rows.columns]
+    repeated = rows.join(counted, is_repeated, "left_semi").selectExpr("*", "spark_partition_id() AS _task")
+    contents = aggregate(repeated, [*names, "_task"], "count(*) AS _rows")
+    place = "struct(" + ", ".join(f"{o} IS NULL, {o}" for o in [*order, *names, "_task"]) + ")"
+    first = aggregate(contents, [f"{key} AS _key"], f"min({place}) AS _first")
+    met = contents.join(first, F.col(key).eqNullSafe(F.col("_key")))
+    spread = met.selectExpr(*names, f"{place} = _first AS _is_first", "explode(sequence(1L, _rows)) AS _row")
+    return single.unionByName(spread.selectExpr(*names, "NOT (_is_first AND _row = 1) AS is_copy"))
 
 
 def repeated_keys(rows: DataFrame, *keys: str) -> DataFrame:

@@ -1,53 +1,25 @@
 """Membership in another table's keys, as a flag or as a filter.
 
 A NULL key is never a member and, as with NOT IN, never an orphan either. NULLs
-among the members are ignored.
+among the members are ignored. Both are left joins to distinct keys without a hint: Catalyst broadcasts a
+list below the session's threshold, and beyond it AQE splits the rows of a hot key at run time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from veritally.config import Config
-from veritally.operators.sizes import fits_one_task, hot_keys, is_broadcast, lane_of_hot_row
 
 
 def member_keys(members: DataFrame, column: str, name: str) -> DataFrame:
     return members.where(f"{column} IS NOT NULL").selectExpr(f"{column} AS {name}").distinct()
 
 
-def mark_member(
-    rows: DataFrame, key: str, members: DataFrame, column: str, flag: str, cfg: Config | None = None
-) -> DataFrame:
-    """Add ``flag``: whether the key is among the members.
-
-    Member keys below the session's broadcast threshold are broadcast by Catalyst. Otherwise
-    both sides are shuffled by key; rows of a hot key then go to lanes of their own, which
-    match nothing there, and take their answer from a broadcast of the few hot members.
-    Without ``cfg`` the keys of ``rows`` are known to be unique.
-    """
-    known = member_keys(members, column, key)
-    marked = known.selectExpr("*", "true AS is_member")
-    if cfg is None or is_broadcast(known) or fits_one_task(rows, cfg):
-        joined = rows.join(marked, key, "left")
-        return joined.selectExpr("* EXCEPT (is_member)", f"is_member IS NOT NULL AS {flag}")
-    hot = hot_keys(rows.where(f"{key} IS NOT NULL"), key, cfg)
-    hot_members = known.join(F.broadcast(hot), known[key] == hot["hot_key"]).selectExpr(f"{key}", "true AS is_hot_member")
-    spread = (
-        rows.join(F.broadcast(hot), rows[key] == hot["hot_key"], "left")
-        .selectExpr("*", f"if(hot_key IS NULL, -1L, {lane_of_hot_row(cfg)}) AS lane")
-        .join(F.broadcast(hot_members), key, "left")
-        .selectExpr("*", f"struct({key}, lane) AS place")
-    )
-    # One struct as the key: of two columns, Catalyst would turn the constant lane into a filter.
-    joined = spread.join(known.selectExpr(f"struct({key}, -1L AS lane) AS place", "true AS is_member"), "place", "left")
-    return joined.selectExpr(
-        *[f"`{c}`" for c in rows.columns], f"coalesce(is_member, is_hot_member) IS NOT NULL AS {flag}")
-
-
-def orphans(
-    rows: DataFrame, key: str, members: DataFrame, column: str, cfg: Config | None = None
-) -> DataFrame:
-    marked = mark_member(rows, key, members, column, "is_known", cfg)
+def mark_member(rows: DataFrame, key: str, members: DataFrame, column: str, flag: str) -> DataFrame:
+    """Add ``flag``: whether the key is among the members."""
+    known = member_keys(members, column, key).selectExpr("*", "true AS is_member")
+    return rows.join(known, key, "left").selectExpr("* EXCEPT (is_member)", f"is_member IS NOT NULL AS {flag}")
+
+
+def orphans(rows: DataFrame, key: str, members: DataFrame, column: str) -> DataFrame:
+    marked = mark_member(rows, key, members, column, "is_known")
     return marked.where(f"{key} IS NOT NULL AND NOT is_known").drop("is_known")

@@ -15,7 +15,7 @@ from veritally.functions.expressions import NET, business_day, calendar_date, mo
 from veritally.operators.copies import mark_copies
 from veritally.operators.frames import aggregate, zero_if_null
 from veritally.operators.members import mark_member
-from veritally.sources.extract import Extract, copy_order, valid_currencies
+from veritally.sources.extract import Extract, copy_columns, valid_currencies
 
 # Columns of the written tables.
 QUARANTINE_COLUMNS = ["txn_id", "account_id", "txn_ts", "amount", "currency", "direction", "channel",
@@ -41,9 +41,9 @@ class Pipeline:
         """Raw rows with typed values, copies marked, and the currency looked up."""
         raw, cfg = self.raw, self.cfg
         rows = raw.transactions.selectExpr("*", f"{utc_timestamp('txn_ts')} AS ts_utc")
-        order = copy_order("ts_utc", cfg.arrival)
-        rows = mark_copies(rows, "txn_id", order, cfg).selectExpr("*", f"{money('amount')} AS amt")
-        return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known", cfg)
+        order = copy_columns("ts_utc", cfg.arrival)
+        rows = mark_copies(rows, "txn_id", order).selectExpr("*", f"{money('amount')} AS amt")
+        return mark_member(rows, "currency", valid_currencies(raw, cfg.base_currency), "currency", "currency_known")
 
     @property
     def _bad_time(self) -> str:
@@ -58,7 +58,7 @@ class Pipeline:
     def classified(self) -> DataFrame:
         """Every raw row with its reason for rejection (NULL: accepted) and business day."""
         raw, on = self.raw, self.runs.on
-        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known", self.cfg)
+        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known")
         reason = f"""CASE WHEN is_copy AND NOT {on('PIPE-01')} THEN 'DUPLICATE'
                           WHEN NOT currency_known THEN 'INVALID_CURRENCY'
                           WHEN {BAD_AMOUNT} THEN 'NON_POSITIVE_AMOUNT'

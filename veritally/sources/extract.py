@@ -132,6 +132,10 @@ def valid_currencies(raw: Extract, base_currency: str) -> DataFrame:
     return rated.union(rated.sparkSession.sql(f"SELECT '{base_currency}'")).distinct()
 
 
-def copy_order(ts_utc: str, arrival: str | None) -> str:
+def copy_columns(ts_utc: str, arrival: str | None) -> list[str]:
     """Which copy of an id came first: arrival, else time; equal rows are interchangeable."""
-    return ", ".join(f"{c} ASC NULLS LAST" for c in [arrival or ts_utc, *COLUMNS["transactions"]])
+    return [arrival or ts_utc, *COLUMNS["transactions"]]
+
+
+def copy_order(ts_utc: str, arrival: str | None) -> str:
+    return ", ".join(f"{c} ASC NULLS LAST" for c in copy_columns(ts_utc, arrival))
