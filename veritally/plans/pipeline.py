@@ -97,7 +97,7 @@ class Pipeline:
             rows = rows.withColumn("newest", newest.scalar())
             priced_on = f"if({on('PIPE-02')}, newest, ist_date)"
         rates = raw.fx_rates.selectExpr(
-            "currency", f"{calendar_date('rate_date')} AS priced_on", "CAST(inr_rate AS DECIMAL(12, 4)) AS rate")
+            "currency", f"{calendar_date('rate_date')} AS priced_on", "try_cast(inr_rate AS DECIMAL(12, 4)) AS rate")
         return (
             rows.selectExpr("*", f"{self._report_day} AS ist_date",
                             f"if({on('PIPE-06')}, CAST(floor(amt) AS DECIMAL(18, 2)), amt) AS amount")
@@ -128,8 +128,8 @@ class Pipeline:
         net = aggregate(self._counted, ["run", "account_id"],
                         f"{total('CREDIT')} AS credits", f"{total('DEBIT')} AS debits")
         ledger = raw.closing_balances.selectExpr(
-            "account_id", "CAST(closing_balance AS DECIMAL(18, 2)) AS source_closing")
-        accounts = raw.accounts.selectExpr("account_id", "CAST(opening_balance AS DECIMAL(18, 2)) AS opening")
+            "account_id", "try_cast(closing_balance AS DECIMAL(18, 2)) AS source_closing")
+        accounts = raw.accounts.selectExpr("account_id", "try_cast(opening_balance AS DECIMAL(18, 2)) AS opening")
         return (
             self.runs.fan_out(accounts.join(ledger, "account_id", "left"))
             .join(net, ["run", "account_id"], "left")

@@ -9,7 +9,7 @@ from veritally.functions.expressions import business_day, quoted, share, utc_tim
 from veritally.operators.frames import aggregate, zero_if_null
 from veritally.operators.samples import first_n, in_place
 from veritally.plans.rules import DIMENSIONS, rule_table, table_counts
-from veritally.sources.extract import Extract
+from veritally.sources.extract import Extract, copy_columns
 
 # Findings of these rules fail a transaction row in the daily score.
 TXN_ROW_RULES = ["VAL-01", "VAL-02", "INT-01"]
@@ -48,8 +48,11 @@ def daily_scores(raw: Extract, found: DataFrame, cfg: Config) -> DataFrame:
     ids are reduced to one row each before anything is joined.
     """
     day = business_day(utc_timestamp("txn_ts"), cfg)
-    rows = raw.transactions.selectExpr("txn_id", f"{day} AS day", *([cfg.arrival] if cfg.arrival else []))
-    first = f"min_by(day, {cfg.arrival})" if cfg.arrival else "min(day)"
+    # The first copy as the pipeline takes it; without an arrival order that is the earliest day.
+    place = ", ".join(f"{c} IS NULL, {c}" for c in copy_columns("day", cfg.arrival))
+    rows = raw.transactions.selectExpr("*", f"{day} AS day").selectExpr(
+        "txn_id", "day", *([f"struct({place}) AS place"] if cfg.arrival else []))
+    first = "min_by(day, place)" if cfg.arrival else "min(day)"
     bad = found.where(f"rule_id IN ({quoted(*TXN_ROW_RULES)})").selectExpr("key AS txn_id").distinct()
     good = aggregate(rows, ["txn_id"], f"{first} AS day").join(bad, "txn_id", "left_anti")
     return (

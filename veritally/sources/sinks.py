@@ -22,8 +22,8 @@ def written_table(rows: DataFrame, path: str, order: tuple[str, ...] = (), parti
 
 def write_sections(sections: Mapping[str, DataFrame], folder: str) -> None:
     for name, rows in sections.items():
-        rows.write.mode("overwrite").json(f"{folder}/{name}")
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 def read_section(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.json(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/{name}")
