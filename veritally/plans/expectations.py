@@ -116,17 +116,17 @@ def evaluate(raw: Extract, suite: str, cfg: Config) -> DataFrame:
 
     fails = [f"count_if({e.fails(cfg)}) AS n{i}" for i, e in by_row]
     totals = aggregate(flagged, [], "count(*) AS element_count", *fails)
-    per_row = ", ".join(f"struct({i} AS i, n{i} AS unexpected_count)" for i, _ in by_row)
+    per_row = ", ".join(f"struct({i} AS i, n{i} AS unexpected_count, element_count)" for i, _ in by_row)
     counted = [totals.selectExpr("inline(array(" + per_row + "))")]
     for i, values in repeated.items():
         counted.append(aggregate(values, [], "coalesce(sum(copies), 0) AS unexpected_count").selectExpr(
-            f"{i} AS i", "unexpected_count"))
+            f"{i} AS i", "unexpected_count", "CAST(NULL AS BIGINT) AS element_count"))
     samples = _samples(flagged, by_row, repeated, cfg)
     names = ", ".join(f"struct('{e.kind}' AS expectation, '{e.column}' AS column)" for _, e in chosen)
-    whole = aggregate(rows, [], "count(*) AS element_count").scalar()
     return (
-        stacked(counted).join(samples, "i", "left").withColumn("element_count", whole)
-        .selectExpr("*", f"array({names})[i] AS name")
+        stacked(counted).join(samples, "i", "left")
+        # One row per expectation; those of one column alone did not count the rows.
+        .selectExpr("* EXCEPT (element_count)", "max(element_count) OVER () AS element_count", f"array({names})[i] AS name")
         .selectExpr(f"'{suite}' AS suite", "name.expectation", "name.column", "unexpected_count = 0 AS success",
                     "unexpected_count", "element_count", "coalesce(sample, CAST(array() AS ARRAY<STRING>)) AS sample")
     )
