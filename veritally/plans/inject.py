@@ -7,7 +7,7 @@ the ledger of the clean rows stays right.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -40,15 +40,25 @@ class Defects:
     incident_utc: str = "2024-01-17 04:30:00"
     incident_seconds: int = 7200
     late_hours: int = 240
-    minor_born: str = "2009-06-15"
+    minor_born: str = "2009-06-15"  # and up to ``minor_days`` later
+    minor_days: int = 300
     unknown_branch: str = "BR9999"
-    bad_phone: str = "12345"
+    # SQL texts over the customer's number ``n``, taken in turn.
+    bad_emails: tuple[str, ...] = (
+        "concat('user', n, '@')", "concat('user', n, '.example.com')", "concat('user ', n, '@example.com')",
+        "concat('user', n, '@@example.com')")
+    bad_phones: tuple[str, ...] = ("12345", "+917012345678", "70123-45678", "seven zero", "5012345678")
+    # A ledger is off by one to seven times this, up or down, but never below zero.
     ledger_shift: str = "12.34"
+    picks: dict[str, tuple[int, int]] = field(default_factory=lambda: dict(PICKS))
 
+    def picked(self, defect: str, number: str = "n") -> str:
+        modulus, remainder = self.picks[defect]
+        return f"{number} % {modulus} = {remainder}"
 
-def picked(defect: str, number: str = "n") -> str:
-    modulus, remainder = PICKS[defect]
-    return f"{number} % {modulus} = {remainder}"
+    def turn(self, defect: str, number: str = "n") -> str:
+        """How many carriers of the defect come before this one."""
+        return f"({number} div {self.picks[defect][0]})"
 
 
 def key_number(text: str) -> str:
@@ -60,8 +70,8 @@ def bad_transactions(clean: DataFrame, spec: Defects, cfg: Config) -> DataFrame:
 
     One scan: a row is repeated for every defect it seeds, then changed in place.
     """
-    seeds = {"'clean'": "true", "'DQ-01'": f"{picked('DQ-01')} AND status = 'SUCCESS'"}
-    seeds |= {f"'{d}'": picked(d) for d in ("DQ-03", "DQ-04", "DQ-05", "DQ-06")}
+    seeds = {"'clean'": "true", "'DQ-01'": f"{spec.picked('DQ-01')} AND status = 'SUCCESS'"}
+    seeds |= {f"'{d}'": spec.picked(d) for d in ("DQ-03", "DQ-04", "DQ-05", "DQ-06")}
     seeded = ", ".join(f"if({test}, {defect}, NULL)" for defect, test in seeds.items())
     rows = (
         clean.selectExpr("*", f"{key_number('txn_id')} AS n")
@@ -69,7 +79,7 @@ def bad_transactions(clean: DataFrame, spec: Defects, cfg: Config) -> DataFrame:
         .where("seed IS NOT NULL")
     )
     extra = "seed NOT IN ('clean', 'DQ-01')"
-    code = rotate(BAD_CURRENCIES, f"(n div {PICKS['DQ-03'][0]})")
+    code = rotate(BAD_CURRENCIES, spec.turn("DQ-03"))
     incident = f"TIMESTAMP_NTZ'{spec.incident_utc}' + make_dt_interval(0, 0, 0, n % {spec.incident_seconds})"
     late = f"TIMESTAMP_NTZ'{cfg.cutoff_utc}' + make_dt_interval(0, CAST(1 + n % {spec.late_hours} AS INT))"
     changed = {
@@ -95,13 +105,18 @@ def bad_customers(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataF
     """Customers with planted values and the ``defects`` each one carries."""
     holders = accounts.where("account_type = 'CURRENT'").select("customer_id").distinct()
     rows = clean.join(holders.selectExpr("*", "true AS holder"), "customer_id", "left")
-    lacks, slot = picked("DQ-02"), f"n div {PICKS['DQ-02'][0]} % 3"
+    picked = spec.picked
+    lacks, slot = picked("DQ-02"), f"{spec.turn('DQ-02')} % 3"
     minor = f"{picked('DQ-11')} AND holder IS NOT NULL AND NOT {lacks}"
+    turn = f"CAST({spec.turn('DQ-07')} % {len(spec.bad_emails)} AS INT)"
+    email = f"element_at(array({', '.join(spec.bad_emails)}), {turn} + 1)"
+    phone = rotate(list(spec.bad_phones), spec.turn("DQ-08"))
+    born = f"CAST(date_add(DATE'{spec.minor_born}', CAST(n % {spec.minor_days} AS INT)) AS STRING)"
     changed = {
-        "email": f"CASE WHEN {picked('DQ-07')} THEN concat('user', n, '@') WHEN {lacks} AND {slot} = 0 THEN NULL ELSE email END",
-        "phone": f"CASE WHEN {picked('DQ-08')} THEN '{spec.bad_phone}' WHEN {lacks} AND {slot} = 1 THEN NULL ELSE phone END",
+        "email": f"CASE WHEN {picked('DQ-07')} THEN {email} WHEN {lacks} AND {slot} = 0 THEN NULL ELSE email END",
+        "phone": f"CASE WHEN {picked('DQ-08')} THEN {phone} WHEN {lacks} AND {slot} = 1 THEN NULL ELSE phone END",
         "kyc_status": f"if({lacks} AND {slot} = 2, NULL, kyc_status)",
-        "date_of_birth": f"if({minor}, '{spec.minor_born}', date_of_birth)",
+        "date_of_birth": f"if({minor}, {born}, date_of_birth)",
     }
     carried = {"DQ-02": lacks, "DQ-07": picked("DQ-07"), "DQ-08": picked("DQ-08"), "DQ-11": minor}
     numbered = rows.selectExpr("*", f"{key_number('customer_id')} AS n")
@@ -111,19 +126,21 @@ def bad_customers(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataF
 def bad_accounts(clean: DataFrame, transactions: DataFrame, spec: Defects) -> DataFrame:
     """Some accounts in use point to a branch nobody knows."""
     number = key_number("account_id")
-    used = transactions.select("account_id").where(picked("DQ-12", number)).distinct()
+    used = transactions.select("account_id").where(spec.picked("DQ-12", number)).distinct()
     rows = clean.join(used.selectExpr("*", "true AS in_use"), "account_id", "left")
     changed = {"branch_code": f"if(in_use, '{spec.unknown_branch}', branch_code)"}
     return rows.selectExpr(*_replaced(clean.columns, changed, {"DQ-12": "in_use"}))
 
 
 def bad_closing(clean: DataFrame, accounts: DataFrame, spec: Defects) -> DataFrame:
-    """Negative savings balances, and balances shifted upwards (never below zero)."""
+    """Negative savings balances, and balances shifted up or down (never below zero)."""
+    picked = spec.picked
     savings = accounts.where("account_type = 'SAVINGS'").select("account_id").distinct()
     rows = clean.join(savings.selectExpr("*", "true AS savings"), "account_id", "left")
     negative = f"{picked('DQ-09')} AND savings IS NOT NULL"
     shifted = f"{picked('DQ-10')} AND NOT {picked('DQ-09')}"
-    moved = f"CAST(closing_balance AS DECIMAL(18, 2)) + {spec.ledger_shift}"
+    closing, step = "CAST(closing_balance AS DECIMAL(18, 2))", f"CAST((1 + n % 7) * {spec.ledger_shift} AS DECIMAL(18, 2))"
+    moved = f"IF({spec.turn('DQ-10')} % 2 = 1 AND {closing} >= {step}, {closing} - {step}, {closing} + {step})"
     changed = {"closing_balance": f"CASE WHEN {negative} THEN {money_text('-(n + 100)')} "
                                   f"WHEN {shifted} THEN {money_text(moved)} ELSE closing_balance END"}
     numbered = rows.selectExpr("*", f"{key_number('account_id')} AS n")
