@@ -78,3 +78,10 @@ def wrong_document_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_with_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(f"text RLIKE r'{EMAIL}'").select("doc_id", "source")
+
+
+def length_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: documents, those whose stated length is wrong or missing, and characters by either count."""
+    docs = table(spark, sf_dir, "documents")
+    return aggregate(docs, ["lang"], "count(*) AS documents", "count_if(NOT n_chars <=> CAST(length(text) AS BIGINT)) AS wrong",
+                     "sum(n_chars) AS stated", "sum(CAST(length(text) AS BIGINT)) AS counted")
