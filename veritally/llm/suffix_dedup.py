@@ -160,8 +160,9 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 CHUNK = 1 << 19
 
 
-def segments(data: bytes, how: Repeats) -> Iterator[tuple[int, int, int]]:
-    """(start, number of windows, hash) of each run of windows that share their least k-gram."""
+def segments(data: bytes, how: Repeats) -> Iterator[tuple[int, int, int, int]]:
+    """(start, windows, hash, gram) of each run of windows that share their least k-gram, which
+    stands ``gram`` bytes after the start."""
     width = how.length - how.gram + 1
     at, limit = 0, len(data) - how.length + 1
     while at < limit:
@@ -170,13 +171,14 @@ def segments(data: bytes, how: Repeats) -> Iterator[tuple[int, int, int]]:
         packed = (h >> np.uint64(20) << np.uint64(20)) | np.arange(len(h), dtype=np.uint64)
         least = sliding_least(packed, width)
         cuts = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, [n]])
-        hashes = h[(least[cuts[:-1]] & np.uint64((1 << 20) - 1)).astype(np.int64)].view(np.int64)
-        yield from zip((cuts[:-1] + at).tolist(), np.diff(cuts).tolist(), hashes.tolist())
+        grams = (least[cuts[:-1]] & np.uint64((1 << 20) - 1)).astype(np.int64)
+        yield from zip((cuts[:-1] + at).tolist(), np.diff(cuts).tolist(), h[grams].view(np.int64).tolist(),
+                       (grams - cuts[:-1]).tolist())
         at += n
 
 
 def segment_rows(docs: DataFrame, how: Repeats) -> DataFrame:
-    """(doc_id, crc, v, digest, a, n): all segments of all texts; a text is known by its id and crc32."""
+    """(doc_id, crc, v, digest, a, n, g): all segments of all texts; a text is known by its id and crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,31 +187,33 @@ def segment_rows(docs: DataFrame, how: Repeats) -> DataFrame:
                 data = (text or "").encode("utf-8", "surrogatepass")
                 if len(data) >= how.length:
                     crc, digest, rest = zlib.crc32(data), xxhash.xxh3_64_intdigest, how.length - 1
-                    rows += [(doc_id, crc, v, digest(data[a:a + n + rest]) - (1 << 63), a, n) for a, n, v in segments(data, how)]
-            columns = list(zip(*rows)) or [()] * 6
+                    rows += [(doc_id, crc, v, digest(data[a:a + n + rest]) - (1 << 63), a, n, g)
+                             for a, n, v, g in segments(data, how)]
+            columns = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.int32())],
-                names=["doc_id", "crc", "v", "digest", "a", "n"])
+                [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(c, pa.int32()) for c in columns[5:]],
+                names=["doc_id", "crc", "v", "digest", "a", "n", "g"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, crc long, v long, digest long, a long, n int")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, crc long, v long, digest long, a long, n int, g int")
 
 
 def contents(docs: DataFrame, wanted: DataFrame, how: Repeats) -> DataFrame:
-    """(doc_id, crc, v, digest, a, n) -> (v, digest, content); each text is met once."""
-    lists = wanted.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("v", "digest", "a", "n")).alias("parts"))
+    """(doc_id, crc, v, digest, a, n, g) -> (v, digest, g, content); each text is met once."""
+    lists = wanted.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("v", "digest", "a", "n", "g")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
-                rows += [(p["v"], p["digest"], data[p["a"]:p["a"] + p["n"] + how.length - 1]) for p in parts]
-            columns = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
-                                             names=["v", "digest", "content"])
+                rows += [(p["v"], p["digest"], p["g"], data[p["a"]:p["a"] + p["n"] + how.length - 1]) for p in parts]
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["v", "digest", "g", "content"])
 
     found = with_parts(docs, lists).where("parts IS NOT NULL").select("text", "parts")
-    return found.mapInArrow(run, "v long, digest long, content binary").dropDuplicates(["v", "digest"])
+    return found.mapInArrow(run, "v long, digest long, g int, content binary").dropDuplicates(["v", "digest"])
 
 
 def with_parts(docs: DataFrame, lists: DataFrame) -> DataFrame:
@@ -222,15 +226,15 @@ def with_parts(docs: DataFrame, lists: DataFrame) -> DataFrame:
 FOUND = "v long, digest long, x int, y int"
 
 
-def repeated_windows(held: list[tuple[int, int, bytes]], how: Repeats) -> list[tuple[int, int, int, int]]:
-    """(v, digest, x, y): windows x..y-1 of a content that equal a window of another."""
-    text = b"\0".join(c for _, _, c in held)
-    owner, offset, at = [], [], 0
-    for k, (_, _, c) in enumerate(held):
+def repeated_windows(held: list[tuple[int, int, int, bytes]], how: Repeats) -> list[tuple[int, int, int, int]]:
+    """(v, digest, x, y): windows x..y-1 of a content that equal a window of another; what is held of
+    a content begins at its byte ``shift``."""
+    text = b"\0".join(c for *_, c in held)
+    owner, offset = [], []
+    for k, (_, _, shift, c) in enumerate(held):
         owner += [k] * (len(c) - how.length + 1) + [-1] * how.length
-        offset += range(len(c) - how.length + 1)
+        offset += range(shift, shift + len(c) - how.length + 1)
         offset += [0] * how.length
-        at += len(c) + 1
     marks: dict[int, list[int]] = {}
     before, last, size = None, -1, how.length
     for i in suffix_array(text):
@@ -256,20 +260,57 @@ def _found_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["v", "digest", "x", "y"])
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """How many bytes two strings begin with in common."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def _reach(parts: list[bytes]) -> list[int]:
+    """The most bytes each string begins with in common with any other."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    most = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        n = _common(parts[i], parts[j])
+        most[i], most[j] = max(most[i], n), max(most[j], n)
+    return most
+
+
+def able(group: list[tuple[int, int, int, bytes]], how: Repeats) -> list[tuple[int, int, int, bytes]]:
+    """(v, digest, shift, content): what of each content in a group could lie in a shared window.
+
+    A window holds the gram, so equal windows agree to the left of it and to the right of it. No content reaches
+    farther than it agrees with any other on that side, which is cut off, and what is left may be too short.
+    """
+    left = _reach([content[:g][::-1] for _, _, g, content in group])
+    right = _reach([content[g + how.gram:] for _, _, g, content in group])
+    return [(v, digest, g - a, content[g - a:g + how.gram + b])
+            for (v, digest, g, content), a, b in zip(group, left, right) if a + how.gram + b >= how.length]
+
+
 def sort_groups(texts: DataFrame, how: Repeats) -> DataFrame:
     """Groups within the bound, whole groups at a time, by suffix sorting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, group = [], 0, None
+        held, size, group = [], 0, []
         for batch in batches:
-            for v, digest, content in zip(*(batch.column(k).to_pylist() for k in ("v", "digest", "content"))):
-                if v != group and size >= how.batch_bytes:
-                    yield _found_batch(repeated_windows(held, how))
-                    held, size = [], 0
-                group = v
-                held.append((v, digest, content))
-                size += len(content)
-        yield _found_batch(repeated_windows(held, how))
+            for row in zip(*(batch.column(k).to_pylist() for k in ("v", "digest", "g", "content"))):
+                if group and row[0] != group[0][0]:
+                    whole = able(group, how)
+                    held, size, group = held + whole, size + sum(len(c) for *_, c in whole), []
+                    if size >= how.batch_bytes:
+                        yield _found_batch(repeated_windows(held, how))
+                        held, size = [], 0
+                group.append(row)
+        yield _found_batch(repeated_windows(held + able(group, how), how))
 
     return texts.repartition("v").sortWithinPartitions("v").mapInArrow(run, FOUND)
 
@@ -299,7 +340,7 @@ def repeated_spans(docs: DataFrame, how: Repeats) -> DataFrame:
     twice = segs.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
     shared = written(segs.join(twice.hint("merge"), "v"))
     kinds = written(shared.groupBy("v", "digest").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a", "n")).alias("one")))
+        F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a", "n", "g")).alias("one")))
     groups = kinds.groupBy("v").agg(F.count("*").alias("kinds"), F.sum(F.col("one.n") + how.length - 1).alias("bytes"))
     mixed = kinds.join(groups.where("kinds > 1").hint("merge"), "v").select("v", "digest", "one.*", "bytes")
     texts = written(contents(docs, mixed, how).join(groups.select("v", "bytes").hint("merge"), "v"))
