@@ -13,7 +13,7 @@ from veritally.plans import expectations, rules, score
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source
 from veritally.sources.extract import COLUMNS, Extract
-from veritally.sources.sinks import write_sections, written_table
+from veritally.sources.sinks import read_section, write_sections, written_table
 
 
 def counts(raw: Extract) -> DataFrame:
@@ -30,21 +30,24 @@ def build_report(
 ) -> dict[str, DataFrame]:
     """Write stages under ``folder/tables`` and sections under ``folder/report``; return the sections.
 
-    Findings, the pipeline's tables and the two recomputed sides of the checks are written
-    once and read back: each is computed a single time, and a lost executor costs only its
-    own tasks. ``folder`` must be one every executor can reach.
+    The raw text, the marked copies, findings, the pipeline's tables and the recomputed sides of the
+    checks are written once and read back, so is every section: a lost executor costs only its
+    own tasks. ``folder`` must be one every executor can reach; all that is written lies in it.
     """
     tables = f"{folder}/tables"
+    given = raw
+    raw = Extract(**{t: lambda t=t: written_table(getattr(given, t), f"{tables}/raw_{t}") for t in COLUMNS})
     out, source = Pipeline(raw, cfg, Runs.single(faults)), Source(raw, cfg)
     source.valid = written_table(source.valid, f"{tables}/valid_transactions")
     source.balances = written_table(source.balances, f"{tables}/expected_balances")
     found = written_table(rules.findings(raw, cfg, balances=source.balances), f"{tables}/findings")
+    out.checked = written_table(out.checked, f"{tables}/checked_transactions")
     out.quarantine = written_table(out.quarantine, f"{tables}/quarantine_transactions")
     out.staging = written_table(out.staging, f"{tables}/stg_transactions")
     out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", ("report_date", "branch_code"), "report_date")
     out.balances = written_table(out.balances, f"{tables}/rpt_account_balances", ("account_id",))
     checks = Checks(source, out)
-    by_rule = score.rule_scores(raw, found)
+    by_rule = written_table(score.rule_scores(raw, found), f"{tables}/rule_scores")
     by_dimension = score.dimension_scores(by_rule)
     ids = quoted(*sorted(faults))
     sections = {
@@ -62,4 +65,4 @@ def build_report(
         "quarantine": quarantine_breakdown(out.quarantine).orderBy("reject_reason"),
     }
     write_sections(sections, f"{folder}/report")
-    return sections
+    return {name: read_section(raw.transactions.sparkSession, f"{folder}/report", name) for name in sections}

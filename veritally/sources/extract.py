@@ -51,7 +51,7 @@ class Extract:
 
 def landed(extract: Extract, written: Callable[[DataFrame], DataFrame]) -> Extract:
     """The same extract, each table written once when it is first asked for."""
-    return Extract(**{table: lambda t=table: written(getattr(extract, t)) for table in COLUMNS})
+    return Extract(**{table: lambda t=table: written(getattr(extract, t)) for table in extract._sources})
 
 
 def _with_header(reader: DataFrameReader, files: str | list[str], wanted: list[str]) -> DataFrame:
