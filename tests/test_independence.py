@@ -5,6 +5,7 @@ import pytest
 from veritally.config import Runs
 from veritally.plans import pipeline
 from veritally.plans.reconcile import Checks, Source
+from veritally.sources.extract import COLUMNS
 
 WRONG = {
     "NET": lambda old: "sum(inr_amount)",
@@ -20,6 +21,8 @@ WRONG = {
 
 @pytest.mark.parametrize("helper", WRONG)
 def test_a_wrong_helper_of_the_pipeline_fails_a_check(monkeypatch, dirty, cfg, helper):
+    for table in COLUMNS:  # landed before a plan is built on them
+        getattr(dirty, table)
     monkeypatch.setattr(pipeline, helper, WRONG[helper](getattr(pipeline, helper)))
     results = Checks(Source(dirty, cfg), pipeline.Pipeline(dirty, cfg, Runs.single())).results().collect()
     assert not all(r.passed for r in results)
