@@ -102,6 +102,19 @@ def test_quality_of_nothing(empty, docs, labels):
     assert {r.ratio for r in quality.score_documents(docs.limit(5), labels.where("false")).select("__quality.ratio").collect()} == {0.0}
 
 
+def test_quality_follows_the_labels_of_each_language(spark):
+    given, known = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    scored = quality.score_documents(given, known).where("NOT __quality.base_failed").join(
+        known.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    seen = scored.groupBy("lang", "label").agg(F.count("*").alias("n"), F.sum(F.expr("int(__quality.kept)")).alias("kept")).collect()
+    assert {r.label for r in seen} == {0, 1} and len({r.lang for r in seen}) > 1
+    for r in seen:
+        assert r.kept <= 0.02 * r.n if r.label == 0 else r.kept >= 0.98 * r.n, r
+    # Documents nobody labelled are mostly like the trusted ones, and are not held against them.
+    rest = quality.score_documents(given, known).where("NOT __quality.base_failed").join(known, "doc_id", "left_anti")
+    assert rest.where("__quality.kept").count() > 0.85 * rest.count()
+
+
 # ---------------------------------------------------------------- 2 mixing
 
 def test_mix_meets_targets(spark, docs, empty):
