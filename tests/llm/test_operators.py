@@ -115,6 +115,15 @@ def test_quality_follows_the_labels_of_each_language(spark):
     assert rest.where("__quality.kept").count() > 0.85 * rest.count()
 
 
+def test_quality_trusts_every_good_document(spark):
+    given = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("good").alias("text"))
+    known = given.select("doc_id", F.lit(1).alias("quality"))
+    prepare(spark)
+    for how in (quality.QualityRules(buckets=8), quality.QualityRules(buckets=8, broadcast_ids=0)):
+        counts = quality.cell_counts(given, quality.trusted_ids(known), how).collect()
+        assert [(r.n_target, r.n_raw) for r in counts] == [(20_000, 20_000)]
+
+
 # ---------------------------------------------------------------- 2 mixing
 
 def test_mix_meets_targets(spark, docs, empty):

@@ -32,8 +32,8 @@ class QualityRules:
     least_ratio: float = -0.15
     least_words: int = 50
     most_repeated_percent: int = 50
-    #: The trusted multinomial is fitted on at most so many labelled documents.
-    max_trusted: int = 1 << 14
+    #: Up to so many ids of trusted documents (of some 25 bytes) are broadcast; more join by shuffle.
+    broadcast_ids: int = 1 << 22
 
 
 #: What the queries use: cells enough to tell words and pairs apart, a bar for each corpus.
@@ -85,10 +85,9 @@ def repeated_words(word: Column, hashes: Column, repeated: Column) -> Column:
     return F.when(F.size(repeated) == 0, F.lit(0).cast("long")).otherwise(covered)
 
 
-def trusted_ids(labels: DataFrame, rules: QualityRules) -> DataFrame:
-    """At most ``max_trusted`` documents labelled as good, by hash of their id."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.max_trusted)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All documents labelled as good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
 def grams(rows: DataFrame, buckets: int, *carried: str) -> DataFrame:
@@ -102,7 +101,8 @@ def grams(rows: DataFrame, buckets: int, *carried: str) -> DataFrame:
 
 def cell_counts(docs: DataFrame, trusted: DataFrame, rules: QualityRules) -> DataFrame:
     """(cell, n_target, n_raw) over all documents; map tasks reduce to ``buckets`` rows each."""
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("_trusted")))  # max_trusted rows at most
+    ids = trusted.select(F.col("doc_id").alias("_trusted"))
+    ids = F.broadcast(ids) if ids.count() <= rules.broadcast_ids else ids
     rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_trusted"), "left")
     split = rows.select(F.col("_trusted").isNotNull().cast("long").alias("t"), words(F.col("text")).alias("w"))
     return grams(split, rules.buckets, "t").groupBy("cell").agg(F.sum("t").alias("n_target"), F.count("*").alias("n_raw"))
@@ -127,7 +127,7 @@ def digests(text: Column) -> list[Column]:
 
 def text_scores(docs: DataFrame, labels: DataFrame, rules: QualityRules) -> tuple[DataFrame, float]:
     """(__id, __a, __b, __ratio) of each id and text with words, and the bar."""
-    trusted = trusted_ids(labels, rules)
+    trusted = trusted_ids(labels)
     counts = written(cell_counts(docs, trusted, rules))
     target, raw = counts.agg(F.sum("n_target"), F.sum("n_raw")).first()
     ratios = F.broadcast(log_ratios(counts, target or 0, raw or 0, rules))  # buckets rows at most
