@@ -274,6 +274,19 @@ def test_one_of_each_class_stays(docs, empty):
     assert kept.where("doc_id IS NULL").count() == 1 and ngram_join.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_one_id_with_two_texts(spark, turn):
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    given = [(1, text("a")), (1, text("b")), (2, text("a", 59)), (3, text("b", 59)), (4, text("c")), (5, text("c")), (5, text("d")),
+             (6, text("e")), (6, text("e", 59)), (7, text("f")), (7, "\t" + text("f") + "\n")]
+    prepare(spark)
+    docs = spark.createDataFrame(given[::turn], "doc_id long, text string").coalesce(1)
+    got = collections.Counter(tuple(r) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == collections.Counter({(1, 1, 1): 2, (2, 1, 1): 1, (3, 1, 1): 1, (4, 4, 1): 1, (5, 4, 1): 1, (5, 5, 0): 1, (6, 6, 1): 2, (7, 7, 1): 2})
+    kept = sorted((r.doc_id, r.text.split()[0]) for r in ngram_join.keep_one(docs).collect())
+    assert kept == [(1, "a0"), (1, "b0"), (4, "c0"), (5, "d0"), (6, "e0"), (7, "f0")]
+
+
 def test_bands_reach_the_recall():
     how = ngram_join.JaccardJoin()
     assert 1 - (1 - 0.8**how.rows) ** how.bands >= how.recall > 1 - (1 - 0.8**how.rows) ** (how.bands - 1)

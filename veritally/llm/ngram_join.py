@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritally.llm.common import words
 from veritally.llm.components import connected_components
 from veritally.session import written
 
@@ -83,6 +84,10 @@ def shingles(texts: list[str], n: int) -> tuple[list[list[bytes]], np.ndarray, n
     return split, out, counts
 
 
+def text_key(words: list[bytes]) -> bytes | None:
+    return hashlib.md5(b" ".join(words)).digest() if words else None
+
+
 def _factors(count: int) -> np.ndarray:
     rng = np.random.default_rng(1)
     return rng.integers(1 << 62, size=(2, count), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,7 +111,7 @@ def fingerprints(docs: DataFrame, how: JaccardJoin) -> DataFrame:
                 found[:, k // rows] = (found[:, k // rows] ^ (least ^ least >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
             found = (found ^ found >> np.uint64(32)).view(np.int64)
             lists = dict(zip(some.tolist(), found))
-            keys = [hashlib.md5(b" ".join(w)).digest() if w else None for w in split]
+            keys = list(map(text_key, split))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()), pa.array(keys, pa.binary()),
                 pa.array([sum(map(len, w)) for w in split], pa.int64()),
@@ -119,12 +124,12 @@ def fingerprints(docs: DataFrame, how: JaccardJoin) -> DataFrame:
 def verified(table: pa.Table, how: JaccardJoin) -> pa.Table:
     """One block pair of one group: links of each text inside it, and the least text it is
     connected with. Texts of block ``i`` meet those of block ``j``, or each other where i = j."""
-    rows = {r["key"]: r for r in table.to_pylist()}
-    seen, texts = [], []
-    for r in rows.values():  # rows that repeat an id may bring another text
-        if hashlib.md5(b" ".join(r["text"].encode("utf-8", "surrogatepass").split())).digest() == r["key"]:
-            seen.append(r)
-            texts.append(r["text"])
+    rows = {}
+    for r in table.to_pylist():  # rows that repeat an id may bring another text under the key
+        if r["key"] not in rows and text_key(r["text"].encode("utf-8", "surrogatepass").split()) == r["key"]:
+            rows[r["key"]] = r
+    seen = list(rows.values())
+    texts = [r["text"] for r in seen]
     order = sorted(range(len(seen)), key=lambda i: seen[i]["key"])
     seen, texts = [seen[i] for i in order], [texts[i] for i in order]
     _, hashes, counts = shingles(texts, how.words)
@@ -164,11 +169,17 @@ def verified(table: pa.Table, how: JaccardJoin) -> pa.Table:
 def near_duplicates(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFrame:
     """Per document: doc_id, class_id (the least id of its class), n_links (documents linked to it).
 
-    Copies link to each other and share their text's links; they are counted, not expanded. A
+    Rows that repeat an id with another text are judged by their own text. Copies link to each other and share their text's links; they are counted, not expanded. A
     class is a connected component of links. A NULL or wordless text, or a row without an id, is
     linked to nothing: its class is its own id. Repeated rows count as copies. An empty table gives
     no rows. Only doc_id and text are read.
     """
+    return judged_texts(docs, how).select("doc_id", "class_id", "n_links")
+
+
+def judged_texts(docs: DataFrame, how: JaccardJoin) -> DataFrame:
+    """The rows of ``near_duplicates`` with the key of their words and ``first``, the key of the text
+    that stands for the class under ``class_id``."""
     prints = written(fingerprints(docs, how))
     named = prints.where("key IS NOT NULL AND doc_id IS NOT NULL")
     texts = written(named.groupBy("key").agg(
@@ -199,22 +210,30 @@ def near_duplicates(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFr
         classes.withColumnRenamed("node", "key").withColumnRenamed("root", "class"), "key", "left")
     known = known.select("key", "doc", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                          F.coalesce("class", "key").alias("class"))
-    least = known.groupBy("class").agg(F.min("doc").alias("class_id"))
-    judged = written(known.join(least, "class").select(F.col("key").alias("_key"), "class_id", "n_links"))
+    least = known.groupBy("class").agg(F.min(F.struct("doc", "key")).alias("least")).selectExpr(
+        "class", "least.doc AS class_id", "least.key AS first")
+    judged = written(known.join(least, "class").select(F.col("key").alias("_key"), "class_id", "first", "n_links"))
     out = prints.join(judged, F.expr("key = _key AND doc_id IS NOT NULL"), "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+    return out.select("doc_id", "key", "first", F.coalesce("class_id", "doc_id").alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFrame:
     """One document of each class, the one with the least id, with its own columns.
 
-    Of rows that repeat an id and a text, one stays; other rows of one id share its fate, and rows
-    without an id all stay.
+    Rows are judged by id and words: of rows that repeat both, one stays, and rows of one id with
+    other words have a fate of their own. Of wordless rows that repeat an id and a text one stays;
+    rows without an id all stay.
     """
-    losers = written(near_duplicates(docs, how).where("class_id <> doc_id").select(F.col("doc_id").alias("_lost")).distinct())
-    kept = docs.join(losers, docs["doc_id"] == losers["_lost"], "left_anti")
+    lost = judged_texts(docs, how).where("class_id <> doc_id OR key <> first")
+    losers = written(lost.select(F.col("doc_id").alias("_lost"), F.hex("key").alias("_key")).distinct())
+    split = words(F.col("text"))
+    # The same key as ``text_key`` gives; NULL without words.
+    key = F.when(F.size(split) > 0, F.upper(F.md5(F.array_join(split, " ").cast("binary"))))
+    kept = docs.join(losers, (docs["doc_id"] == losers["_lost"]) & (key == losers["_key"]), "left_anti")
     repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
     again = written(repeated)
-    twice = kept.join(again, kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    twice = kept.join(again, kept["doc_id"] == again["_id"], "left_semi").withColumns(
+        {"_words_key": key, "_wordless": F.when(F.size(split) == 0, F.col("text"))})
+    twice = twice.dropDuplicates(["doc_id", "_words_key", "_wordless"]).drop("_words_key", "_wordless")
     return kept.join(again, kept["doc_id"] == again["_id"], "left_anti").unionByName(twice)
