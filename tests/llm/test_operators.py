@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veritally.llm import (
-    decontamination, licenses, mixing, ngram_join, quality, sharding, suffix_dedup, token_shards, toxicity, warc_bundles)
+    decontamination, licenses, mixing, ngram_join, quality, queries, sharding, suffix_dedup, token_shards, toxicity, warc_bundles)
 from veritally.llm.common import prepare, table
 from veritally.llm.queries import word_pieces
 
@@ -366,6 +366,16 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan_files(given.where("false")).count() == 0
 
 
+def test_licence_query_takes_rows_without_id_source_or_language(spark, tmp_path):
+    mit, gpl = licenses.NOTICES["MIT"], licenses.NOTICES["GPL-3.0"]
+    given = [(None, mit, "en", "s", 1), (None, gpl, "en", "s", 1), (None, None, None, None, None), (5, mit, None, "s", 1),
+             (6, "prose", "s", None, 1), (7, "prose", None, "s", 1)]
+    spark.createDataFrame(given, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = collections.Counter((r.doc_id, r.license, r.origin) for r in queries.op9_license_scan(spark, str(tmp_path)).collect())
+    assert got == collections.Counter([(None, "MIT", "own"), (None, "GPL-3.0", "own"), (None, None, None), (5, "MIT", "own"),
+                                       (6, None, None), (7, "MIT", "inherited")])
+
+
 def test_cosines_against_brute_force(spark, docs, rows):
     paths = docs.select(F.col("doc_id").cast("string").alias("path"), "text").where("path IS NOT NULL")
     got = {(r.path, r.line_no): (r.license, round(r.cosine, 9)) for r in licenses.licensed_lines(paths).collect()}
