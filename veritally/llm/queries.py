@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import decontamination, licenses, mixing, ngram_join, quality, sharding, suffix_dedup, token_shards, toxicity, warc_bundles
+from veritally.llm import bottom_sketches, conversation_trie, decontamination, licenses, mixing, ngram_join, quality, sharding, spelling_variants, suffix_dedup, token_shards, toxicity, warc_bundles
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -77,8 +77,23 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with the more frequent word one edit away; NULL texts have no words."""
+    return spelling_variants.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_bottom_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's component of near copies; NULL and wordless texts are alone."""
+    return bottom_sketches.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of rebuilt conversations; rows without conv_id are left out."""
+    return conversation_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_toxicity, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op8_suffix_dedup, op9_license_scan, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op3_toxicity, op4_balanced_shards, op5_warc_bundles, op6_ngram_jaccard_join, op7_token_shards, op8_suffix_dedup, op9_license_scan, op10_benchmark_decontamination, op11_spelling_variants, op12_bottom_sketches, op13_conversation_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
