@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,21 @@ class Sketches:
         return s * seen - self.slack * (seen * s * (1 - s)) ** 0.5
 
 
+#: Word hashes a Python worker remembers.
+MOST_CACHED = 1 << 19
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = xxhash.xxh64_intdigest(word)
+        return number
+
+
+@lru_cache(maxsize=1)
+def _word_hashes() -> _WordHashes:
+    return _WordHashes()
+
+
 def shingle_set(lowered: bytes, n: int) -> tuple[list[bytes], np.ndarray]:
     """(words, sorted distinct hashes of the n-word shingles) of a text whose A-Z are lower-cased.
 
@@ -59,7 +75,10 @@ def shingle_set(lowered: bytes, n: int) -> tuple[list[bytes], np.ndarray]:
     words = lowered.split()
     if len(words) <= n:
         return words, np.array([xxhash.xxh64_intdigest(b" ".join(words))] if words else [], np.uint64)
-    hashed = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    known = _word_hashes()
+    if len(known) > MOST_CACHED:
+        known.clear()
+    hashed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     out = np.zeros(len(words) - n + 1, np.uint64)
     for i in range(n):
         out = (out ^ hashed[i:len(words) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
@@ -155,12 +174,40 @@ def linked(pairs: DataFrame, texts: DataFrame, how: Sketches) -> DataFrame:
     return met.groupBy("b", "block").applyInArrow(run, "a long, b long")
 
 
+def candidates(hashes: list[np.ndarray], sizes: np.ndarray, how: Sketches) -> np.ndarray:
+    """Which pairs of sketches hold enough common values for :func:`passes`, as a matrix.
+
+    What the sketch of a union has in common cannot be more than what the two sketches have.
+    """
+    n = len(hashes)
+    owner = np.repeat(np.arange(n), [len(h) for h in hashes])
+    _, column, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    width = 4096
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [start, start + width])
+        held = np.zeros((n, int(column[b - 1]) + 1 - start), np.float32)
+        held[owner[a:b], column[a:b] - start] = 1
+        both += held @ held.T
+    small, large = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
+    whole = how.of * both >= how.least * (small + large - both)
+    return (how.of * small >= how.least * large) & np.where(large <= how.k, whole, both >= how.least_common(how.k))
+
+
 def compared_lists(mixed: DataFrame, nodes: DataFrame, how: Sketches) -> DataFrame:
     """Pairs (a, b) of different components that share a list and pass the estimate.
 
-    Lists (list, node, component) are gone through in pairs of blocks; a pair leaves its task only if it passes.
+    Of lists that hold the same texts one is looked at. Lists (list, node, component) are gone through in
+    pairs of blocks; a pair leaves its task only if it passes.
     """
-    sizes = mixed.groupBy("list").agg(F.count("*").alias("n")).selectExpr("list", f"CAST(ceil(n / {how.block}) AS INT) AS blocks")
+    sizes = mixed.groupBy("list").agg(F.count("*").alias("n"), *[
+        F.sum(F.expr(f"xxhash64(node, {seed}) >> 32")).alias(f"d{seed}") for seed in (1, 2)])
+    sizes = sizes.groupBy("n", "d1", "d2").agg(F.min("list").alias("list"))
+    sizes = sizes.selectExpr("list", f"CAST(ceil(n / {how.block}) AS INT) AS blocks")
     dealt = mixed.join(sizes, "list").selectExpr(
         "*", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block", "explode(sequence(0, blocks - 1)) AS other")
     sent = dealt.selectExpr("list", "node", "component", "block", "least(block, other) AS i", "greatest(block, other) AS j")
@@ -170,18 +217,11 @@ def compared_lists(mixed: DataFrame, nodes: DataFrame, how: Sketches) -> DataFra
         hashes = [np.array(s, np.int64).view(np.uint64) for s in rows["sketch"]]
         sizes = np.array(rows["n_shingles"], np.int64)
         component, block = np.array(rows["component"]), np.array(rows["block"])
-        a_out, b_out = [], []
-        crossed = len(sizes) and rows["i"][0] != rows["j"][0]
-        for x in range(len(sizes)):
-            rest = slice(x + 1, None)
-            fit = (component[rest] != component[x]) & (how.of * np.minimum(sizes[rest], sizes[x]) >= how.least * np.maximum(sizes[rest], sizes[x]))
-            if crossed:
-                fit &= block[rest] != block[x]
-            for y in (np.flatnonzero(fit) + x + 1).tolist():
-                if passes(hashes[x], hashes[y], int(sizes[x]), int(sizes[y]), how):
-                    a_out.append(rows["node"][x])
-                    b_out.append(rows["node"][y])
-        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
+        fit = np.triu(candidates(hashes, sizes, how), 1) & (component[:, None] != component)
+        if rows["i"][0] != rows["j"][0]:
+            fit &= block[:, None] != block
+        pairs = [(x, y) for x, y in np.argwhere(fit).tolist() if passes(hashes[x], hashes[y], int(sizes[x]), int(sizes[y]), how)]
+        return pa.table({"a": pa.array([rows["node"][x] for x, _ in pairs], pa.int64()), "b": pa.array([rows["node"][y] for _, y in pairs], pa.int64())})
 
     met = sent.join(nodes.select("node", "sketch", "n_shingles").hint("merge"), "node")
     return met.groupBy("list", "i", "j").applyInArrow(run, "a long, b long").distinct()
