@@ -56,7 +56,7 @@ if __name__ == "__main__":
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
     session = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").getOrCreate())
+               .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     con, statements = connect(sf_dir), entry.oracle_sql()
     for name, query in entry.queries().items():

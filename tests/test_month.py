@@ -1,9 +1,15 @@
 """The full month: rules, expectations, checks, scores and faults, dirty and clean."""
 
+from collections import Counter
+from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
+from month import extract, txn
 
-from veritally.config import FAULTS, Runs
+from veritally.config import FAULTS, Config, Runs
 from veritally.plans import expectations, mutation, rules, score
+from veritally.plans.deltas import FaultMatrix
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source
 from veritally.session import written
@@ -84,17 +90,40 @@ def test_each_unexpected_value_is_a_known_defect(dirty, cfg, manifest):
     assert sizes == {suite: getattr(dirty, suite).count() for suite in raw}
 
 
-def test_scores(dirty, clean, cfg, found):
-    none = found.where("false")
-    perfect = score.dimension_scores(score.rule_scores(clean, none))
-    assert {r.score for r in perfect.collect()} == {100.0}
-    assert score.overall_score(perfect).first().score == 100.0
-    dims = {r.dimension: r.score for r in score.dimension_scores(score.rule_scores(dirty, found)).collect()}
-    assert set(dims) == set(rules.DIMENSIONS) and all(s < 100.0 for s in dims.values())
+def _rounded(part, whole, places=2):
+    """part / whole, rounded half up."""
+    return float((Decimal(part) / Decimal(whole)).quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP))
+
+
+def test_rule_scores_count_the_keys_of_the_manifest(dirty, cfg, found, manifest):
+    """A rule fails for each key that is planted for it; a ledger planted below zero also breaks the sum."""
+    planted = Counter((r.rule_id, r.key) for r in manifest.select("rule_id", "key").distinct().collect())
+    failed = Counter(rule for rule, _ in planted)
+    failed["CON-02"] = len({k for rule, k in planted if rule in ("CON-01", "CON-02")})
+    sizes = {t: getattr(dirty, t).count() for t in ("transactions", "customers", "accounts")}
+    rates = {}
+    for r in score.rule_scores(dirty, found).collect():
+        assert (r.failed, r.records) == (failed[r.rule_id], sizes[r.table]), r.rule_id
+        assert r.pass_rate == _rounded(100 * (r.records - r.failed), r.records)
+        rates.setdefault(r.dimension, []).append(r.pass_rate)
+    want = {d: _rounded(sum(Decimal(str(x)) for x in v), len(v)) for d, v in rates.items()}
+    got = score.dimension_scores(score.rule_scores(dirty, found))
+    assert {r.dimension: r.score for r in got.collect()} == want
+    assert score.overall_score(got).first().score == _rounded(sum(Decimal(str(x)) for x in want.values()), len(want))
+
+
+def test_daily_scores_recounted_row_by_row(dirty, cfg, found):
+    bad = {r.key for r in found.where("rule_id IN ('VAL-01', 'VAL-02', 'INT-01')").collect()}
+    first, rows = {}, Counter()
+    for r in dirty.transactions.selectExpr("txn_id", "to_date(to_timestamp_ntz(replace(txn_ts, 'Z', '')) + INTERVAL '330' MINUTE) AS day").collect():
+        rows[r.day] += 1
+        first[r.txn_id] = min(r.day, first.get(r.txn_id, r.day))
+    passed = Counter(day for txn_id, day in first.items() if txn_id not in bad)
+    as_of = date.fromisoformat(cfg.as_of)
+    want = {d: (n, n - passed[d], _rounded(100 * passed[d], n)) for d, n in rows.items() if d <= as_of}
     days = score.daily_scores(dirty, found, cfg)
-    assert days.count() == 30
-    assert str(score.worst_day(days).first().date) == "2024-01-17"
-    assert {r.failed for r in score.daily_scores(clean, none, cfg).collect()} == {0}
+    assert {r.date: (r.rows, r.failed, r.score) for r in days.collect()} == want
+    assert score.worst_day(days).first().date == min(want, key=lambda d: (want[d][2], d))
 
 
 # The checks that notice each fault.
@@ -125,11 +154,32 @@ def test_verdicts(matrix):
 
 
 def test_faults_side_by_side_equal_faults_alone(dirty, cfg):
-    together = Pipeline(dirty, cfg, Runs.matrix()).daily
-    for fault in ("PIPE-02", "PIPE-04"):
-        alone = Pipeline(dirty, cfg, Runs({fault: [fault]})).daily
-        both = together.where(f"run = '{fault}'")
-        assert alone.exceptAll(both).isEmpty() and both.exceptAll(alone).isEmpty()
+    together = FaultMatrix(dirty, cfg, Runs.matrix())
+    for run, faults in Runs.matrix().faults.items():
+        alone = Pipeline(dirty, cfg, Runs({run: faults}))
+        for name in ("daily", "balances", "loaded", "rejected"):
+            one, both = getattr(alone, name), getattr(together, name).where(f"run = '{run}'")
+            both = both.select(one.columns)
+            assert one.exceptAll(both).isEmpty() and both.exceptAll(one).isEmpty(), (run, name)
+
+
+def test_rows_are_not_multiplied_by_runs(dirty, cfg):
+    matrix = FaultMatrix(dirty, cfg, Runs.matrix())
+    assert matrix.valued.count() == matrix.accepted.count()
+    assert matrix.cube.count() < 20 * dirty.branches.count() * 2 * 32
+
+
+def test_rates_listed_twice_or_without_a_number(spark, tmp_path):
+    """Both forms of the pipeline count a foreign row once per rate of its day."""
+    day = "2026-09-05"
+    raw = extract(spark, tmp_path, [txn(), txn("T2", currency="USD"), txn("T3", currency="EUR"), txn("T4", currency="AED"), txn("T5", currency="USD", direction="DEBIT")],
+                  rates=[(day, "USD", "91.2500"), (day, "USD", "90.0000"), (day, "EUR", "many"), ("2026-09-28", "AED", "24.1111"), (day, "INR", "1.0000"), (day, "INR", "2.0000")])
+    together = FaultMatrix(raw, Config(), Runs.matrix())
+    for run, faults in Runs.matrix().faults.items():
+        alone = Pipeline(raw, Config(), Runs({run: faults}))
+        for name in ("daily", "balances", "loaded", "rejected"):
+            one = getattr(alone, name)
+            assert sorted(map(str, one.collect())) == sorted(map(str, getattr(together, name).where(f"run = '{run}'").select(one.columns).collect())), (run, name)
 
 
 def test_month_ties_out_and_clean_quarantine_is_empty(dirty, clean, cfg):

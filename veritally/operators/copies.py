@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veritally.operators.frames import aggregate
 
@@ -12,20 +11,21 @@ def mark_copies(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Add ``is_copy``: false for the first row of each key, true for every other.
 
     ``order`` lists expressions, ascending, NULL last; rows that agree in all columns are
-    interchangeable. Keys are counted first, which map tasks reduce to one row each. Only rows of repeated
-    keys go on: equal ones are counted per task, the least of each key is an aggregate, and the rest
-    are copies. One plan at every size; no key ever meets in one task.
+    interchangeable. Keys are counted first, which map tasks reduce to one row each. One left join then tells rows
+    of repeated keys from the others, which are done. Equal ones among the former are counted, the least of
+    each key is an aggregate, and the rest are copies; all of it keeps the partitioning of that join. One plan
+    at every size; a hot key is reduced in the map tasks, and split at run time where rows meet.
     """
-    counted = aggregate(rows, [f"{key} AS _again"], "count(*) AS _n").where("_n > 1").select("_again")
-    is_repeated = F.col(key).eqNullSafe(F.col("_again"))
-    single = rows.join(counted, is_repeated, "left_anti").selectExpr("*", "false AS is_copy")
+    # Never NULL, so that joins and aggregates by it share one partitioning.
+    keyed = rows.selectExpr("*", f"coalesce(concat('=', CAST({key} AS STRING)), '') AS _key")
+    repeated = aggregate(keyed, ["_key"], "count(*) AS _n").where("_n > 1").selectExpr("_key", "true AS _again")
+    told = keyed.join(repeated, "_key", "left")
     names = [f"`{c}`" for c in rows.columns]
-    repeated = rows.join(counted, is_repeated, "left_semi").selectExpr("*", "spark_partition_id() AS _task")
-    contents = aggregate(repeated, [*names, "_task"], "count(*) AS _rows")
-    place = "struct(" + ", ".join(f"{o} IS NULL, {o}" for o in [*order, *names, "_task"]) + ")"
-    first = aggregate(contents, [f"{key} AS _key"], f"min({place}) AS _first")
-    met = contents.join(first, F.col(key).eqNullSafe(F.col("_key")))
-    spread = met.selectExpr(*names, f"{place} = _first AS _is_first", "explode(sequence(1L, _rows)) AS _row")
+    single = told.where("_again IS NULL").selectExpr(*names, "false AS is_copy")
+    contents = aggregate(told.where("_again"), ["_key", *names], "count(*) AS _rows")
+    place = "struct(" + ", ".join(f"{o} IS NULL, {o}" for o in [*order, *names]) + ")"
+    first = aggregate(contents, ["_key"], f"min({place}) AS _first")
+    spread = contents.join(first, "_key").selectExpr(*names, f"{place} = _first AS _is_first", "explode(sequence(1L, _rows)) AS _row")
     return single.unionByName(spread.selectExpr(*names, "NOT (_is_first AND _row = 1) AS is_copy"))
 
 

@@ -37,7 +37,7 @@ BAD_CURRENCIES = ["INRR", "usd", "", "RS", "XYZ"]
 class Defects:
     """What the planted values look like."""
 
-    incident_utc: str = "2024-01-17 04:30:00"
+    incident_utc: str = "2024-01-11 05:15:00"
     incident_seconds: int = 7200
     late_hours: int = 240
     minor_born: str = "2009-06-15"  # and up to ``minor_days`` later

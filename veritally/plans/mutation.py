@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame
 
 from veritally.config import Config, Runs
 from veritally.operators.frames import aggregate, stacked
-from veritally.plans.pipeline import Pipeline
+from veritally.plans.deltas import FaultMatrix
 from veritally.plans.reconcile import Checks, Source, write_shared
 from veritally.sources.extract import Extract
 
 
 def check_matrix(extracts: Mapping[str, Extract], cfg: Config, runs: Runs | None = None) -> DataFrame:
-    """(extract, run, check_id, passed, mismatches); the runs share one plan per extract."""
+    """(extract, run, check_id, passed, mismatches); the runs share one plan per extract.
+
+    Shared tables are written while this plan is built; ``explain()`` shows what follows them.
+    """
     runs = runs or Runs.matrix()
-    checks = {name: Checks(Source(raw, cfg), Pipeline(raw, cfg, runs)) for name, raw in extracts.items()}
+    checks = {name: Checks(Source(raw, cfg), FaultMatrix(raw, cfg, runs)) for name, raw in extracts.items()}
     write_shared(*checks.values())
     return stacked([
         c.results().selectExpr(f"'{name}' AS extract", "run", "check_id", "passed", "mismatches")

@@ -54,11 +54,15 @@ class Pipeline:
         on = self.runs.on
         return f"if({on('PIPE-03')}, CAST(ts_utc AS DATE), {business_day('ts_utc', self.cfg)})"
 
+    @cached_property
+    def account_marked(self) -> DataFrame:
+        return mark_member(self.checked, "account_id", self.raw.accounts, "account_id", "account_known")
+
     @cached_property
     def classified(self) -> DataFrame:
         """Every raw row with its reason for rejection (NULL: accepted) and business day."""
         raw, on = self.raw, self.runs.on
-        rows = mark_member(self.checked, "account_id", raw.accounts, "account_id", "account_known")
+        rows = self.account_marked
         reason = f"""CASE WHEN is_copy AND NOT {on('PIPE-01')} THEN 'DUPLICATE'
                           WHEN NOT currency_known THEN 'INVALID_CURRENCY'
                           WHEN {BAD_AMOUNT} THEN 'NON_POSITIVE_AMOUNT'
@@ -122,23 +126,43 @@ class Pipeline:
             f"{NET} AS net_inr")
 
     @cached_property
-    def balances(self) -> DataFrame:
-        """Opening, movements and computed closing per account, against the ledger."""
-        raw = self.raw
+    def accounts(self) -> DataFrame:
+        """Opening balance of each account, and the ledger's closing one."""
+        ledger = self.raw.closing_balances.selectExpr("account_id", f"{money('closing_balance')} AS source_closing")
+        return self.raw.accounts.selectExpr("account_id", f"{money('opening_balance')} AS opening").join(ledger, "account_id", "left")
+
+    @cached_property
+    def account_runs(self) -> DataFrame:
+        """Per account its opening and ledger balance, and credits and debits in ``of_runs``."""
         net = aggregate(self._counted, ["run", "account_id"],
                         f"{total('CREDIT')} AS credits", f"{total('DEBIT')} AS debits")
-        ledger = raw.closing_balances.selectExpr(
-            "account_id", "try_cast(closing_balance AS DECIMAL(18, 2)) AS source_closing")
-        accounts = raw.accounts.selectExpr("account_id", "try_cast(opening_balance AS DECIMAL(18, 2)) AS opening")
         return (
-            self.runs.fan_out(accounts.join(ledger, "account_id", "left"))
-            .join(net, ["run", "account_id"], "left")
-            .selectExpr("run", "account_id", "opening", *zero_if_null("credits", "debits"), "source_closing")
-            .selectExpr("run", "account_id", "opening", "credits", "debits",
-                        "opening + credits - debits AS computed_closing", "source_closing",
-                        "source_closing - (opening + credits - debits) AS difference")
+            self.runs.fan_out(self.accounts).join(net, ["run", "account_id"], "left")
+            .selectExpr("run", "account_id", "opening", "source_closing", *zero_if_null("credits", "debits"))
+            .selectExpr("account_id", "opening", "source_closing", "array(struct(run, credits, debits)) AS of_runs")
         )
 
+    @cached_property
+    def balances(self) -> DataFrame:
+        """Opening, movements and computed closing per account, against the ledger."""
+        return self.account_runs.selectExpr("account_id", "opening", "source_closing", "inline(of_runs)").selectExpr(
+            "run", "account_id", "opening", "credits", "debits", "opening + credits - debits AS computed_closing", "source_closing",
+            "source_closing - (opening + credits - debits) AS difference")
+
+    # What the checks compare, per run.
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return aggregate(self.quarantine, ["run", "reject_reason AS reason"], "count(*) AS actual")
+
+    @cached_property
+    def loaded(self) -> DataFrame:
+        return aggregate(self.staging, ["run"], "count(*) AS loaded")
+
+    def id_loads(self) -> tuple[DataFrame, dict[str, str]]:
+        """Rows with a ``txn_id``, and per run how often each is loaded."""
+        return self.staging, {name: f"IF(run = '{name}', 1, 0)" for name in self.runs.faults}
+
 
 def run(raw: Extract, cfg: Config, faults: Iterable[str] = ()) -> Pipeline:
     return Pipeline(raw, cfg, Runs.single(faults))

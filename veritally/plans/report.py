@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from veritally.config import Config, Runs
 from veritally.functions.expressions import quoted
@@ -25,14 +26,40 @@ def quarantine_breakdown(quarantine: DataFrame) -> DataFrame:
     return aggregate(quarantine, ["reject_reason"], "count(*) AS rows")
 
 
+# Sections of the report, and what orders the entries of a list.
+LISTED = {
+    "counts": "table", "dimensions": "dimension", "rules": "rule_id", "grading": "rule_id", "daily": "date",
+    "expectations": "suite, column, expectation", "reconciliation": "check_id", "mismatches": "check_id, issue, place",
+    "quarantine": "reject_reason",
+}
+
+
+def document(sections: Mapping[str, DataFrame]) -> DataFrame:
+    """The report as one row with one JSON text: single values first, then the sections as ordered lists.
+
+    A section has a row per rule, day, check or reason, ten samples a check at most: bounded by the
+    extract's definition and period, not by its rows.
+    """
+    parts = [sections["run"].select(c).scalar().alias(c) for c in ("as_of", "pipeline_faults", "report_rows")]
+    parts.append(sections["score"].select("score").scalar().alias("score"))
+    for name, order in LISTED.items():
+        rows = sections[name]
+        columns = ", ".join(f"CAST(`{c}` AS STRING) AS `{c}`" if kind == "date" else f"`{c}`" for c, kind in rows.dtypes)
+        entries = aggregate(rows, [], f"transform(array_sort(collect_list(struct(struct({order}) AS place, struct({columns}) AS entry))), x -> x.entry) AS entries")
+        parts.append(entries.scalar().alias(name))
+    one = sections["run"].sparkSession.range(1)
+    return one.select(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias("document"))
+
+
 def build_report(
     raw: Extract, manifest: DataFrame, cfg: Config, folder: str, faults: Iterable[str] = ()
 ) -> dict[str, DataFrame]:
     """Write stages under ``folder/tables`` and sections under ``folder/report``; return the sections.
 
     The raw text, the marked copies, findings, the pipeline's tables and the recomputed sides of the
-    checks are written once and read back, so is every section: a lost executor costs only its
-    own tasks. ``folder`` must be one every executor can reach; all that is written lies in it.
+    checks are written once and read back, so is every section, and at last all sections as one JSON document: a
+    lost executor costs only its own tasks. Every table is versioned: a rerun that dies leaves the last
+    report readable. ``folder`` must be one every executor can reach; all that is written lies in it.
     """
     tables = f"{folder}/tables"
     given = raw
@@ -64,5 +91,8 @@ def build_report(
         "mismatches": checks.samples().drop("run").orderBy("check_id", "issue", "place"),
         "quarantine": quarantine_breakdown(out.quarantine).orderBy("reject_reason"),
     }
+    spark = raw.transactions.sparkSession
     write_sections(sections, f"{folder}/report")
-    return {name: read_section(raw.transactions.sparkSession, f"{folder}/report", name) for name in sections}
+    read = {name: read_section(spark, f"{folder}/report", name) for name in sections}
+    write_sections({"document": document(read)}, f"{folder}/report")
+    return read | {"document": read_section(spark, f"{folder}/report", "document")}

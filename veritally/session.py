@@ -36,6 +36,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/veritally/{kind}-{uuid.uuid4().hex}"
+
+
 def written(rows: DataFrame) -> DataFrame:
     """Write rows to the shared folder and read them back: later jobs start from the files."""
     path = f"{shared_folder(rows.sparkSession)}/veritally/{uuid.uuid4().hex}"

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.operators.frames import stacked
+from veritally.operators.frames import aggregate, stacked
+from veritally.sources.numbering import PLACED, numbered, placed
 
 # Tables and columns of the extract, in file order.
 COLUMNS = {
@@ -22,12 +23,6 @@ COLUMNS = {
     "closing_balances": ["account_id", "as_of", "closing_balance"],
 }
 
-DEFECT_DOCUMENT = (
-    "seed long, as_of string, counts map<string, long>, "
-    "defects map<string, struct<rule: string, description: string, keys: array<string>>>"
-)
-
-
 class Extract:
     """The tables as attributes; each is built when it is first asked for."""
 
@@ -54,14 +49,15 @@ def landed(extract: Extract, written: Callable[[DataFrame], DataFrame]) -> Extra
     return Extract(**{table: lambda t=table: written(getattr(extract, t)) for table in extract._sources})
 
 
-def _with_header(reader: DataFrameReader, files: str | list[str], wanted: list[str]) -> DataFrame:
+def _with_header(reader: DataFrameReader, files: str | list[str], wanted: list[str], place: bool) -> DataFrame:
     """The wanted columns by their header names; Spark fails a file whose header differs from the first one's."""
     names = reader.option("inferSchema", False).csv(files).columns
     missing = [c for c in wanted if c not in names]
     if missing:
         raise ValueError(f"{files}: no column {', '.join(missing)} in the header {', '.join(names)}")
     schema = ", ".join(f"`{n}` string" for n in names)
-    return reader.schema(schema).option("enforceSchema", False).csv(files).select(*wanted)
+    scan = reader.schema(schema).option("enforceSchema", False).csv(files)
+    return placed(scan).select(*wanted, *PLACED) if place else scan.select(*wanted)
 
 
 def _by_header(reader: DataFrameReader, path: str) -> list[list[str]]:
@@ -75,7 +71,7 @@ def _by_header(reader: DataFrameReader, path: str) -> list[list[str]]:
 
 def read_extract(
     spark: SparkSession, folder: str, arrival: str | None = None, line_breaks: bool = False,
-    mixed_headers: bool = False,
+    mixed_headers: bool = False, row_number: str | None = None,
 ) -> Extract:
     """``<folder>/<table>.csv`` (a file or a folder of files) with a header; empty means NULL.
 
@@ -83,7 +79,9 @@ def read_extract(
     left out, and a missing one is an error. Files of one table must agree in their header, or the read
     fails; with ``mixed_headers`` the header of each file is looked at first. With
     ``line_breaks`` quoted values may span lines; Spark then reads each file in one task, so such an
-    extract should come in many files.
+    extract should come in many files. ``row_number`` names a column that numbers the transactions
+    from 1 in the order of files and rows; as ``Config.arrival`` it makes the copy that stands first in the
+    files the first one.
     """
 
     def read(table: str) -> DataFrame:
@@ -94,7 +92,10 @@ def read_extract(
             return spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
 
         groups = _by_header(reader(), path) if mixed_headers else [path]
-        rows = stacked([_with_header(reader(), files, wanted) for files in groups])
+        number = row_number if table == "transactions" else None
+        rows = stacked([_with_header(reader(), files, wanted, bool(number)) for files in groups])
+        if number:
+            rows = numbered(rows, number)
         if arrival and table == "transactions":
             rows = rows.withColumn(arrival, F.col(arrival).cast("long"))
         return rows
@@ -102,21 +103,33 @@ def read_extract(
     return Extract(**{table: lambda t=table: read(t) for table in COLUMNS})
 
 
+def write_text(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    rows.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+
+
 def write_extract(extract: Extract, folder: str) -> None:
     for table in COLUMNS:
-        writer = getattr(extract, table).write.mode("overwrite")
-        writer.option("header", True).option("escape", '"').csv(f"{folder}/{table}.csv")
+        write_text(getattr(extract, table), f"{folder}/{table}.csv")
 
 
-def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document with the keys of every defect -> (defect_id, rule_id, key).
+def write_ordered(rows: DataFrame, path: str, place: str, files: int) -> None:
+    """Text files that hold the rows in the order of ``place`` from the first file to the last."""
+    dealt = rows.selectExpr("*", f"{place} AS _place").repartitionByRange(files, "_place").sortWithinPartitions("_place")
+    write_text(dealt.drop("_place"), path)
 
-    A single document is read by a single task; larger manifests belong in the
-    one-line-per-key form of :func:`write_manifest`.
-    """
-    document = spark.read.schema(DEFECT_DOCUMENT).option("multiLine", True).json(path)
-    defects = document.selectExpr("explode(defects) AS (defect_id, defect)")
-    return defects.selectExpr("defect_id", "defect.rule AS rule_id", "explode(defect.keys) AS key")
+
+def text_digest(columns: list[str]) -> str:
+    """Aggregate: a sum that tells multisets of text rows apart, whatever the order of the rows."""
+    row = ", ".join(f"coalesce({c}, '~')" for c in columns)
+    return f"sum(CAST(conv(left(md5(concat_ws('|', {row})), 8), 16, 10) AS BIGINT))"
+
+
+def digests(extract: Extract) -> DataFrame:
+    """(table, records, digest) of the six tables."""
+    return stacked([
+        aggregate(getattr(extract, table), [f"'{table}' AS table"], "count(*) AS records", f"{text_digest(columns)} AS digest")
+        for table, columns in COLUMNS.items()
+    ])
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
@@ -136,6 +149,3 @@ def copy_columns(ts_utc: str, arrival: str | None) -> list[str]:
     """Which copy of an id came first: arrival, else time; equal rows are interchangeable."""
     return [arrival or ts_utc, *COLUMNS["transactions"]]
 
-
-def copy_order(ts_utc: str, arrival: str | None) -> str:
-    return ", ".join(f"{c} ASC NULLS LAST" for c in copy_columns(ts_utc, arrival))

@@ -4,26 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+PLACES = ("a", "b")
 
-def written_table(rows: DataFrame, path: str, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
-    """Write parquet and read it back, so later jobs start from the files.
 
-    Files are sorted by ``order``. With ``partition_by`` each value is one folder with one
-    file, which suits report tables of bounded size.
+class VersionedTable:
+    """A parquet table that is replaced as a whole and can be read at any time.
+
+    It has two places and a commit mark for each. A write goes to the place that is not current,
+    through Spark's committer, and is marked with the next number when it is complete; the mark
+    with the highest number says which place is read. So a write that dies leaves the last version as it was, a
+    rerun overwrites what the dead one left, and there are never more than two versions. Readers of a
+    version that has been replaced have until the next write but one. One writer at a time.
     """
-    if partition_by:
-        rows = rows.repartition(partition_by)
-    writer = (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _marks(self) -> dict[str, int]:
+        try:
+            rows = self.spark.read.schema("place string, number long").json(f"{self.folder}/commit-*").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []
+        return {r.place: r.number for r in rows}
+
+    @property
+    def version(self) -> int:
+        """The number of the current version, 0 where none has been written."""
+        return max(self._marks().values(), default=0)
+
+    def write(self, rows: DataFrame, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
+        """Replace the table and read it back. Files are sorted by ``order``; with ``partition_by`` each
+        value is one folder with one file, which suits report tables of bounded size."""
+        marks = self._marks()
+        place = min(PLACES, key=lambda p: marks.get(p, 0))
+        if partition_by:
+            rows = rows.repartition(partition_by)
+        writer = (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.folder}/data-{place}")
+        number = max(marks.values(), default=0) + 1
+        mark = self.spark.range(1, numPartitions=1).selectExpr(f"'{place}' AS place", f"{number}L AS number")
+        mark.write.mode("overwrite").json(f"{self.folder}/commit-{place}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/data-{place}")
+
+    def read(self) -> DataFrame:
+        marks = self._marks()
+        if not marks:
+            raise FileNotFoundError(f"{self.folder}: no version has been written")
+        return self.spark.read.parquet(f"{self.folder}/data-{max(marks, key=marks.get)}")
+
+
+def written_table(rows: DataFrame, path: str, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
+    """Replace the table at ``path`` and read it back, so later jobs start from the files."""
+    return VersionedTable(rows.sparkSession, path).write(rows, order, partition_by)
 
 
 def write_sections(sections: Mapping[str, DataFrame], folder: str) -> None:
     for name, rows in sections.items():
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        written_table(rows, f"{folder}/{name}")
 
 
 def read_section(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+    return VersionedTable(spark, f"{folder}/{name}").read()
