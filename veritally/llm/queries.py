@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritally.llm import bottom_sketches, conversation_trie, decontamination, licenses, mixing, ngram_join, quality, sharding, spelling_variants, suffix_dedup, token_shards, toxicity, warc_bundles
+from veritally.llm import bottom_sketches, conversation_trie, decontamination, duck_statements, licenses, mixing, ngram_join, quality, sharding, spelling_variants, suffix_dedup, token_shards, toxicity, warc_bundles
 from veritally.llm.common import table
 from veritally.session import written
 
@@ -97,4 +97,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return duck_statements.statements()
