@@ -429,6 +429,20 @@ def test_contamination_against_brute_force(spark, docs, rows, empty):
     assert decontamination.contamination(docs, items.where("false")).where("n_hit > 0").count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    item = [f"w{i}" for i in range(13)]
+    whole, odd, even, clean = " ".join(item), " x ".join(item[::2]), "x " + " x ".join(item[1::2]), "nothing of it at all"
+    given = [(1, odd), (1, even), (None, whole), (None, clean), (3, whole), (3, clean), (4, clean)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("digest", "doc", "_bad")})
+    items = spark.createDataFrame([(1, whole, 0)], "item_id long, text string, digest int")
+    hits = {(r.doc_id, r.n_words, r.n_hit) for r in decontamination.contamination(docs, items).collect()}
+    assert hits == {(1, 13, 0), (1, 12, 0), (None, 13, 13), (None, 5, 0), (3, 13, 13), (3, 5, 0), (4, 5, 0)}
+    kept = decontamination.keep_clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame([g for g in given if g[1] != whole], "doc_id long, text string").collect()))
+
+
 def test_proximity_takes_any_order(spark):
     docs = spark.createDataFrame([(1, "hills beyond the rivers"), (2, "hills " + "x " * 90 + "rivers"), (3, "rivers only")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "rivers hills")], "item_id long, text string")

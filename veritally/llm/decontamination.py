@@ -42,6 +42,12 @@ def tokens(rows: DataFrame, key: str) -> DataFrame:
     return split.where("term <> ''").withColumn("term", lower_ascii(F.col("term")))
 
 
+def text_id(doc_id: str | Column = "doc_id") -> Column:
+    """What tells texts apart: the id and 128 bits of the text, so rows that repeat an id, or have none,
+    stand for their own texts and equal rows for one."""
+    return F.struct(doc_id, F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))
+
+
 def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_WORDS), "")).cast("long")
 
@@ -81,10 +87,10 @@ def rarest_terms(words: DataFrame, frequency: DataFrame, search: Search) -> Data
 
 
 class PositionalIndex:
-    """Postings of the training tokens that a set of test items can meet."""
+    """Postings of the training tokens that a set of test items can meet; ``doc_id`` is a :func:`text_id` in here."""
 
     def __init__(self, docs: DataFrame, items: DataFrame, search: Search = Search()):
-        self.docs, self.search = docs.select("doc_id", "text"), search
+        self.docs, self.search = docs.select(text_id().alias("doc_id"), "text"), search
         self.words = written(test_words(items))
         vocabulary = written(self.words.select("term").distinct())
         found = tokens(self.docs, "doc_id").select("term").join(small(vocabulary, search), "term")
@@ -124,7 +130,7 @@ class PositionalIndex:
         return runs.where("found = n").drop("found")
 
     def proximity(self, within: int = 50) -> DataFrame:
-        """(item, start, doc_id, pos): the rarest terms of a test window, in any order, inside
+        """(item, start, doc_id, digest, pos): the rarest terms of a test window, in any order, inside
         ``within`` words from ``pos`` on."""
         met = self.postings.join(self.wanted, "term").selectExpr(
             "item", "start", "needed", "doc_id", "pos", "term")
@@ -132,16 +138,21 @@ class PositionalIndex:
         distinct = self.wanted.groupBy("item", "start").agg(F.countDistinct("term").alias("terms"))
         near = met.join(distinct, ["item", "start"]).selectExpr(
             "item", "start", "doc_id", "pos", "terms", f"size(collect_set(term) OVER {span}) AS found")
-        return near.where("found = terms").select("item", "start", "doc_id", "pos")
+        return near.where("found = terms").selectExpr("item", "start", "doc_id.*", "pos")
 
 
 def contamination(docs: DataFrame, items: DataFrame, search: Search = Search()) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     NULL and wordless texts have no words and no hits; an item without words matches nothing. Rows
-    with the same doc_id share their hits, as equal rows do by nature. Empty tables: without items
+    that repeat an id, or have none, are judged by their own texts. Empty tables: without items
     nothing is hit; without documents there are no rows.
     """
+    return judged(docs, items, search).drop("digest")
+
+
+def judged(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
+    """The rows of ``contamination`` with the ``digest`` of their text."""
     matches = written(PositionalIndex(docs, items, search).matches())
     covered = matches.selectExpr("doc_id", "explode(sequence(shift + start, shift + start + n - 1)) AS pos").distinct()
     hits = covered.groupBy("doc_id").agg(F.count("*").alias("n_hit"))
@@ -149,11 +160,11 @@ def contamination(docs: DataFrame, items: DataFrame, search: Search = Search())
         F.count("*").alias("n_items"),
         F.sha2(F.array_join(F.sort_array(F.collect_list("item_id")), ","), 256).alias("items_sha256"))
     found = hits.withColumnRenamed("doc_id", "_doc").join(listed, F.col("_doc").eqNullSafe(F.col("doc_id")), "left").drop("doc_id")
-    counted = docs.select("doc_id", word_count(F.col("text")).alias("n_words"))
-    rows = counted.join(written(found), F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    counted = docs.select(text_id().alias("doc"), word_count(F.col("text")).alias("n_words"))
+    rows = counted.join(written(found), F.col("doc").eqNullSafe(F.col("_doc")), "left").drop("_doc")
     none = F.sha2(F.lit(""), 256)
     return rows.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        "doc.doc_id", "doc.digest", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items_sha256", none).alias("items_sha256"),
     ).withColumn("contaminated", F.expr(f"n_hit > 0 AND 100 * n_hit >= {search.least_percent} * n_words"))
 
@@ -161,8 +172,8 @@ def contamination(docs: DataFrame, items: DataFrame, search: Search = Search())
 def keep_clean(docs: DataFrame, items: DataFrame, search: Search = Search()) -> DataFrame:
     """The documents that are not contaminated, with their own columns.
 
-    Ids of contaminated documents only are joined back, so clean texts are not shuffled for it
-    where those ids fit the session's broadcast threshold.
+    Rows are judged by id and text. Of contaminated documents only id and digest are joined back, so clean
+    texts are not shuffled for it where those fit the session's broadcast threshold.
     """
-    judged = written(contamination(docs, items, search).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(judged, docs["doc_id"].eqNullSafe(judged["_bad"]), "left_anti")
+    bad = written(judged(docs, items, search).where("contaminated").selectExpr("struct(doc_id, digest) AS _bad").distinct())
+    return docs.join(bad, text_id(docs["doc_id"]).eqNullSafe(F.col("_bad")), "left_anti")
