@@ -136,9 +136,16 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), size: str = "size") -> Data
 
 
 def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """Each row of ``docs``, all its columns unchanged, as many times as the mix takes it."""
-    packed = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"),
-                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    mixed = mix_documents(written(packed), mix)
-    taken = mixed.where("copies > 0").select("row", F.explode(F.expr("sequence(1, copies)")).alias("copy"))
-    return taken.select("row.*")
+    """Each row of ``docs``, all its columns unchanged, as many times as the mix takes it.
+
+    The mix looks at ids, sources, sizes and a digest of the row; the rows themselves move once, to meet
+    their number of copies. Rows that agree in all columns are one row with all their copies.
+    """
+    row_digest = F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+    light = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), row_digest.alias("row"))
+    mixed = mix_documents(written(light), mix)
+    copies = written(mixed.groupBy(F.col("row").alias("_row")).agg(F.sum("copies").alias("_copies")).where("_copies > 0"))
+    # Merged at every size, so that a table of copies which happens to fit a broadcast does not change the plan.
+    met = docs.withColumn("_at", row_digest).join(copies.hint("merge"), F.col("_at") == F.col("_row"))
+    one = met.dropDuplicates(["_at"])
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.expr("sequence(1, CAST(_copies AS INT))")).alias("_copy")).drop("_copy")
