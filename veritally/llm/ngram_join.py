@@ -223,17 +223,16 @@ def keep_one(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFrame:
 
     Rows are judged by id and words: of rows that repeat both, one stays, and rows of one id with
     other words have a fate of their own. Of wordless rows that repeat an id and a text one stays;
-    rows without an id all stay.
+    rows without an id all stay. The verdicts are reached without texts; these meet them in one join.
     """
-    lost = judged_texts(docs, how).where("class_id <> doc_id OR key <> first")
-    losers = written(lost.select(F.col("doc_id").alias("_lost"), F.hex("key").alias("_key")).distinct())
+    judged = judged_texts(docs, how).where("doc_id IS NOT NULL").groupBy("doc_id", "key").agg(
+        F.count("*").alias("n"), F.max(F.expr("key IS NOT NULL AND (class_id <> doc_id OR key <> first)")).alias("_lost"))
+    told = written(judged.where("_lost OR n > 1").select(F.col("doc_id").alias("_id"), F.upper(F.hex("key")).alias("_key"), "_lost"))
     split = words(F.col("text"))
     # The same key as ``text_key`` gives; NULL without words.
     key = F.when(F.size(split) > 0, F.upper(F.md5(F.array_join(split, " ").cast("binary"))))
-    kept = docs.join(losers, (docs["doc_id"] == losers["_lost"]) & (key == losers["_key"]), "left_anti")
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
-    again = written(repeated)
-    twice = kept.join(again, kept["doc_id"] == again["_id"], "left_semi").withColumns(
-        {"_words_key": key, "_wordless": F.when(F.size(split) == 0, F.col("text"))})
-    twice = twice.dropDuplicates(["doc_id", "_words_key", "_wordless"]).drop("_words_key", "_wordless")
-    return kept.join(again, kept["doc_id"] == again["_id"], "left_anti").unionByName(twice)
+    met = docs.withColumn("_own", key).join(
+        told.hint("merge"), (F.col("doc_id") == F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")), "left")
+    once = met.where("_lost IS NULL")
+    twice = met.where("NOT _lost").withColumn("_wordless", F.when(F.col("_own").isNull(), F.col("text"))).dropDuplicates(["doc_id", "_own", "_wordless"])
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(twice.select(*[F.col(f"`{c}`") for c in docs.columns]))
