@@ -176,4 +176,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, search: Search = Search()) ->
     texts are not shuffled for it where those fit the session's broadcast threshold.
     """
     bad = written(judged(docs, items, search).where("contaminated").selectExpr("struct(doc_id, digest) AS _bad").distinct())
-    return docs.join(bad, text_id(docs["doc_id"]).eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, text_id(docs["doc_id"]).eqNullSafe(bad["_bad"]), "left_anti")

@@ -144,8 +144,8 @@ def mixed_rows(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     row_digest = F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
     light = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), row_digest.alias("row"))
     mixed = mix_documents(written(light), mix)
-    copies = written(mixed.groupBy(F.col("row").alias("_row")).agg(F.sum("copies").alias("_copies")).where("_copies > 0"))
+    copies = written(mixed.groupBy(F.col("row").alias("__mix_row")).agg(F.sum("copies").alias("__mix_copies")).where("__mix_copies > 0"))
     # Merged at every size, so that a table of copies which happens to fit a broadcast does not change the plan.
-    met = docs.withColumn("_at", row_digest).join(copies.hint("merge"), F.col("_at") == F.col("_row"))
-    one = met.dropDuplicates(["_at"])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.expr("sequence(1, CAST(_copies AS INT))")).alias("_copy")).drop("_copy")
+    met = docs.withColumn("__mix_at", row_digest).join(copies.hint("merge"), F.col("__mix_at") == F.col("__mix_row"))
+    one = met.dropDuplicates(["__mix_at"])
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.expr("sequence(1, CAST(__mix_copies AS INT))")).alias("__mix_copy")).drop("__mix_copy")

@@ -226,13 +226,13 @@ def keep_one(docs: DataFrame, how: JaccardJoin = JaccardJoin()) -> DataFrame:
     rows without an id all stay. The verdicts are reached without texts; these meet them in one join.
     """
     judged = judged_texts(docs, how).where("doc_id IS NOT NULL").groupBy("doc_id", "key").agg(
-        F.count("*").alias("n"), F.max(F.expr("key IS NOT NULL AND (class_id <> doc_id OR key <> first)")).alias("_lost"))
-    told = written(judged.where("_lost OR n > 1").select(F.col("doc_id").alias("_id"), F.upper(F.hex("key")).alias("_key"), "_lost"))
+        F.count("*").alias("n"), F.max(F.expr("key IS NOT NULL AND (class_id <> doc_id OR key <> first)")).alias("__keep_lost"))
+    told = written(judged.where("__keep_lost OR n > 1").select(F.col("doc_id").alias("__keep_id"), F.upper(F.hex("key")).alias("__keep_key"), "__keep_lost"))
     split = words(F.col("text"))
     # The same key as ``text_key`` gives; NULL without words.
     key = F.when(F.size(split) > 0, F.upper(F.md5(F.array_join(split, " ").cast("binary"))))
-    met = docs.withColumn("_own", key).join(
-        told.hint("merge"), (F.col("doc_id") == F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")), "left")
-    once = met.where("_lost IS NULL")
-    twice = met.where("NOT _lost").withColumn("_wordless", F.when(F.col("_own").isNull(), F.col("text"))).dropDuplicates(["doc_id", "_own", "_wordless"])
+    met = docs.withColumn("__keep_own", key).join(
+        told.hint("merge"), (F.col("doc_id") == F.col("__keep_id")) & F.col("__keep_own").eqNullSafe(F.col("__keep_key")), "left")
+    once = met.where("__keep_lost IS NULL")
+    twice = met.where("NOT __keep_lost").withColumn("__keep_wordless", F.when(F.col("__keep_own").isNull(), F.col("text"))).dropDuplicates(["doc_id", "__keep_own", "__keep_wordless"])
     return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(twice.select(*[F.col(f"`{c}`") for c in docs.columns]))
