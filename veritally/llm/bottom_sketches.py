@@ -11,7 +11,7 @@ the first ``k`` positions of the ring; no run of four lies there with a probabil
 Candidates pass if the sketch of their union estimates enough similarity, and are then verified on their
 full sets. Only components are asked for, so pairs inside one component are not compared again:
 each text first meets the leader of the lists it shares most, twice, and only lists whose texts are then still in
-different components are gone through pair by pair, in blocks of bounded size.
+different components are gone through pair by pair, in blocks of bounded size, a pair in its first list only.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from veritally.llm.components import connected_components
@@ -171,17 +171,14 @@ def linked(pairs: DataFrame, texts: DataFrame, how: Sketches) -> DataFrame:
         return pa.table({"a": pa.array(near, pa.int64()), "b": pa.array([centre] * len(near), pa.int64())})
 
     met = texts.join(both.hint("merge"), "node").select("node", "b", "block", "text")
-    return met.groupBy("b", "block").applyInArrow(run, "a long, b long")
+    return _by_group(met, "b", "block").applyInArrow(run, "a long, b long")
 
 
-def candidates(hashes: list[np.ndarray], sizes: np.ndarray, how: Sketches) -> np.ndarray:
-    """Which pairs of sketches hold enough common values for :func:`passes`, as a matrix.
-
-    What the sketch of a union has in common cannot be more than what the two sketches have.
-    """
-    n = len(hashes)
-    owner = np.repeat(np.arange(n), [len(h) for h in hashes])
-    _, column, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+def common_values(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of some sets have in common."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(h) for h in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = times[column] > 1
     owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
     order = np.argsort(column, kind="stable")
@@ -193,38 +190,74 @@ def candidates(hashes: list[np.ndarray], sizes: np.ndarray, how: Sketches) -> np
         held = np.zeros((n, int(column[b - 1]) + 1 - start), np.float32)
         held[owner[a:b], column[a:b] - start] = 1
         both += held @ held.T
+    return both
+
+
+def candidates(sets: list[np.ndarray], how: Sketches) -> np.ndarray:
+    """Which pairs of sets have sketches with enough common values for :func:`passes`, as a matrix.
+
+    What the sketch of a union has in common cannot be more than what the two sketches have.
+    """
+    sizes = np.array([len(x) for x in sets])
+    both = common_values([x[:how.k] for x in sets])
     small, large = np.minimum(sizes[:, None], sizes), np.maximum(sizes[:, None], sizes)
     whole = how.of * both >= how.least * (small + large - both)
     return (how.of * small >= how.least * large) & np.where(large <= how.k, whole, both >= how.least_common(how.k))
 
 
-def compared_lists(mixed: DataFrame, nodes: DataFrame, how: Sketches) -> DataFrame:
-    """Pairs (a, b) of different components that share a list and pass the estimate.
-
-    Of lists that hold the same texts one is looked at. Lists (list, node, component) are gone through in
-    pairs of blocks; a pair leaves its task only if it passes.
+def linked_in(sets: list[np.ndarray], fit: np.ndarray, how: Sketches) -> list[tuple[int, int]]:
+    """Edges that connect what the fitting pairs with similar full sets connect, one a set at most."""
+    fit = fit & candidates(sets, how)
+    some = np.flatnonzero(fit.any(0) | fit.any(1))
+    if not len(some):
+        return []
+    sizes, both = np.array([len(sets[i]) for i in some]), common_values([sets[i] for i in some])
+    near = fit[np.ix_(some, some)] & (how.of * both >= how.least * (sizes[:, None] + sizes - both))
+    near |= near.T
+    labels, old = np.arange(len(some)), None
+    while old is None or (old != labels).any():
+        old = labels
+        labels = np.minimum(labels, np.where(near, labels, len(some)).min(1))
+        labels = labels[labels]
+    return [(int(some[i]), int(some[k])) for i, k in enumerate(labels) if i != k]
+
+
+def compared_lists(mixed: DataFrame, texts: DataFrame, how: Sketches) -> DataFrame:
+    """Links (a, b) that connect what linked pairs of different components connect, of pairs that share a list.
+
+    Of lists that hold the same texts one is looked at, and a pair is compared in the first list it shares
+    only. Lists (list, node, component) are gone through in pairs of blocks, on full sets.
     """
     sizes = mixed.groupBy("list").agg(F.count("*").alias("n"), *[
         F.sum(F.expr(f"xxhash64(node, {seed}) >> 32")).alias(f"d{seed}") for seed in (1, 2)])
     sizes = sizes.groupBy("n", "d1", "d2").agg(F.min("list").alias("list"))
     sizes = sizes.selectExpr("list", f"CAST(ceil(n / {how.block}) AS INT) AS blocks")
-    dealt = mixed.join(sizes, "list").selectExpr(
-        "*", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block", "explode(sequence(0, blocks - 1)) AS other")
+    kept = written(mixed.join(sizes, "list"))
+    own = kept.groupBy("node").agg(F.collect_set("list").alias("lists"))  # at most as many as a sketch has runs
+    dealt = kept.selectExpr("*", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block", "explode(sequence(0, blocks - 1)) AS other")
     sent = dealt.selectExpr("list", "node", "component", "block", "least(block, other) AS i", "greatest(block, other) AS j")
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("node").to_pydict()
-        hashes = [np.array(s, np.int64).view(np.uint64) for s in rows["sketch"]]
-        sizes = np.array(rows["n_shingles"], np.int64)
-        component, block = np.array(rows["component"]), np.array(rows["block"])
-        fit = np.triu(candidates(hashes, sizes, how), 1) & (component[:, None] != component)
+        component, block, now = np.array(rows["component"]), np.array(rows["block"]), rows["list"][0]
+        earlier = common_values([np.array([x for x in own if x < now], np.int64) for own in rows["lists"]])
+        fit = np.triu((earlier == 0) & (component[:, None] != component), 1)
         if rows["i"][0] != rows["j"][0]:
             fit &= block[:, None] != block
-        pairs = [(x, y) for x, y in np.argwhere(fit).tolist() if passes(hashes[x], hashes[y], int(sizes[x]), int(sizes[y]), how)]
-        return pa.table({"a": pa.array([rows["node"][x] for x, _ in pairs], pa.int64()), "b": pa.array([rows["node"][y] for _, y in pairs], pa.int64())})
+        some = np.flatnonzero(fit.any(0) | fit.any(1))
+        sets = [shingle_set(_lowered(rows["text"][i]), how.words)[1] for i in some]
+        edges = linked_in(sets, fit[np.ix_(some, some)], how) if len(some) else []
+        nodes = [rows["node"][i] for i in some]
+        return pa.table({"a": pa.array([nodes[x] for x, _ in edges], pa.int64()), "b": pa.array([nodes[y] for _, y in edges], pa.int64())})
+
+    met = sent.join(texts.hint("merge"), "node").join(own, "node")
+    return _by_group(met, "list", "i", "j").applyInArrow(run, "a long, b long")
+
 
-    met = sent.join(nodes.select("node", "sketch", "n_shingles").hint("merge"), "node")
-    return met.groupBy("list", "i", "j").applyInArrow(run, "a long, b long").distinct()
+def _by_group(rows: DataFrame, *keys: str) -> GroupedData:
+    """Groups over as many tasks as shuffles have: few bytes may be much work."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys).groupBy(*keys)
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -286,7 +319,7 @@ def node_components(nodes: DataFrame, docs: DataFrame, how: Sketches) -> DataFra
         links = written(found if links is None else links.unionByName(found))
         labels = written(_components(links))
     rest = _mixed(lists, labels).select("list", "node", "component")
-    found = linked(compared_lists(rest, near, how), texts, how)
+    found = compared_lists(rest, texts, how)
     return written(_components(links.unionByName(found)))
 
 
