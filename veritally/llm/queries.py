@@ -51,7 +51,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/thousand/id``; any document may state its directory's licence.
+    """Documents as files ``source/lang/thousand/id``; one that is a licence as a whole states its directory's.
 
     A NULL part is empty; a row without an id is a file named by its text.
     """
@@ -59,7 +59,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text-"), F.md5(F.coalesce("text", F.lit("")))))
     parts = ["source", "lang", F.floor(F.col("doc_id") / 1000).cast("string")]
     path = F.concat_ws("/", *[F.coalesce(part, F.lit("")) for part in parts], name)
-    found = licenses.scan_files(docs.select(path.alias("path"), "text", F.lit(True).alias("is_license_file")))
+    found = licenses.scan_files(docs.select(path.alias("path"), "text"))
     return found.withColumn("doc_id", F.expr("try_cast(substring_index(path, '/', -1) AS bigint)"))
 
 
