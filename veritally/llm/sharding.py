@@ -32,11 +32,20 @@ class Shards:
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, key, u): what placing a document needs; NULL text has no bytes."""
+    """(doc_id, size, text_crc32, key, row): what placing a document needs; NULL text has no bytes."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.unhex(F.md5(text)).alias("key"), unit_hash("doc_id").alias("u"))
+        F.unhex(F.md5(text)).alias("key"), F.monotonically_increasing_id().alias("row"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Add ``u``, the hash of the id; rows of an id that repeats, NULL among them, get one each, or
+    they would all stand at one place, whatever their number. ``rows`` are written ones."""
+    again = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1").select("_id", F.lit(True).alias("_again"))
+    told = rows.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    u = F.when(F.col("_again"), unit_hash("doc_id", "row")).otherwise(unit_hash("doc_id"))
+    return told.withColumn("u", u).drop("_id", "_again", "row")
 
 
 def start_parcels(nodes: DataFrame, how: Shards) -> DataFrame:
@@ -140,7 +149,7 @@ def shard_documents(docs: DataFrame, how: Shards = Shards()) -> DataFrame:
     own; a NULL id is an id like any other. An empty table gives no rows. Only doc_id and text
     are read.
     """
-    nodes = written(sized(docs).select("*", _parcel(how)))
+    nodes = written(spread(written(sized(docs))).select("*", _parcel(how)))
     total = float(nodes.agg(F.sum("size")).first()[0] or 0)
     capacity = total / how.count
     linked = propagate(start_parcels(nodes, how), capacity, how)
