@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ from veritally.llm import (
     decontamination, licenses, mixing, ngram_join, quality, queries, sharding, suffix_dedup, token_shards, toxicity, warc_bundles)
 from veritally.llm.common import prepare, table
 from veritally.llm.queries import word_pieces
+from veritally.session import written
 
 SF_DIR = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(40_000))
@@ -213,6 +215,30 @@ def test_a_text_larger_than_a_shard_is_split_evenly(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 12
 
 
+def test_ids_that_repeat_do_not_overload_a_shard(spark):
+    given = [(None, "the same words")] * 2000 + [(7, f"text {i}") for i in range(1000)] + [(100 + i, f"other text {i}" + " x" * (i % 9)) for i in range(2000)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(7)
+    prepare(spark)
+    placed = sharding.shard_documents(docs)
+    sums = {r.shard: r.bytes for r in placed.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
+    assert len(sums) == 8 and max(sums.values()) - min(sums.values()) <= max(len(t) + 1 for _, t in given)
+    slots = collections.defaultdict(list)
+    for r in placed.select("shard", "slot").collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == 5000 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_propagation_cuts_fewer_links(spark):
+    prepare(spark)
+    docs = spark.createDataFrame([(i, f"text {i % 400}") for i in range(3000)], "doc_id long, text string")
+    how = sharding.Shards()
+    nodes = sharding.spread(written(sharding.sized(docs)))
+    before = sharding.cut_links(nodes.selectExpr("key", f"CAST(floor(u * {how.parcels}) % {how.count} AS INT) AS shard")).first()
+    after = sharding.cut_links(sharding.shard_documents(docs, how).selectExpr("text_crc32 AS key", "shard")).first()
+    assert before.links == after.links == sum(n * (n - 1) // 2 for n in collections.Counter(i % 400 for i in range(3000)).values())
+    assert after.cut < 0.2 * before.cut
+
+
 # ---------------------------------------------------------------- 5 WARC
 
 def test_bundles_round_trip(spark, tmp_path):
@@ -347,15 +373,32 @@ def test_repeats_are_removed(docs, rows, empty, how):
     assert suffix_dedup.remove_repeats(empty, how).count() == 0
 
 
+def test_texts_without_an_id_whose_crc32_collide(spark):
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    passage, other = ("".join(rng.choice(letters, n)) for n in (300, 700))
+    twice = f"{passage}{other[:50]}{passage}"
+    ends = [hashlib.md5(str(i).encode()).hexdigest() for i in range(1 << 18)]
+    sums = {zlib.crc32(f"{twice} {e}".encode()): e for e in ends}
+    one, two = next((sums[h], e) for e in ends if (h := zlib.crc32(f"{other} {e}".encode())) in sums)
+    given = [(None, f"{twice} {one}"), (None, f"{other} {two}")]
+    assert len({zlib.crc32(t.encode()) for _, t in given}) == 1
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    prepare(spark)
+    assert docs.selectExpr("xxhash64(text) AS h").first().h == suffix_dedup.text_sum(given[0][1].encode())
+    got = {r.n_bytes: r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {len(given[0][1]): 600, len(given[1][1]): 0}
+
+
 # ---------------------------------------------------------------- 9 licences
 
 def test_licences_and_inheritance(spark):
     notice = licenses.NOTICES
-    files = [("a/x.txt", f"head\n{notice['MIT']}\nbody the of", False), ("a/LICENSE", notice["GPL-3.0"], True),
-             ("a/b/c/y", "nothing here", False), ("a/b/LICENSE", notice["Apache-2.0"].upper(), True), ("a/b/c/z", None, False),
-             ("q/w", "released under no licence that we know, in a longer line of prose", False), (None, notice["MIT"], False),
-             ("a/z", "", False), ("top", "x" * 100_000, False), ("a/x.txt", "again", False)]
-    given = spark.createDataFrame(files, "path string, text string, is_license_file boolean").withColumn("license", F.lit("clash"))
+    files = [("a/x.txt", f"head\n{notice['MIT']}\nbody the of"), ("a/LICENSE", notice["GPL-3.0"]),
+             ("a/b/c/y", "nothing here"), ("a/b/LICENSE", notice["Apache-2.0"].upper()), ("a/b/c/z", None),
+             ("q/w", "released under no licence that we know, in a longer line of prose"), (None, notice["MIT"]),
+             ("a/z", ""), ("top", "x" * 100_000), ("a/x.txt", "again")]
+    given = spark.createDataFrame(files, "path string, text string").withColumns({c: F.lit("clash") for c in ("license", "unit", "line_no", "is_license_file")})
     prepare(spark)
     got = collections.Counter((r.path, r.license, r.origin, r.from_dir) for r in licenses.scan_files(given).collect())
     assert got == collections.Counter([
@@ -366,6 +409,46 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan_files(given.where("false")).count() == 0
 
 
+def test_units_of_a_file():
+    lines = ["", "# one", "# two", "x = 1", "y = 2", "", "--", "z = 3", " "]
+    singles = {(i, 1) for i in (1, 2, 3, 4, 7)}
+    assert set(licenses.units(lines)) == singles | {(1, 2), (2, 2), (3, 2), (1, 3), (2, 3)} | {(1, 7)}
+    assert list(licenses.units(["", " -- "])) == [] and list(licenses.units(["word"])) == [(0, 1)]
+
+
+def wrapped(text, lead="", width=60):
+    return "\n".join(lead + line for line in textwrap.wrap(" ".join(text.split()), width))
+
+
+def test_headers_licence_files_and_prose(spark, docs):
+    """Wrapped headers in comments, SPDX lines and whole texts are found; texts that talk of licences are not."""
+    code = "import os\n\ndef main():\n    return os.getcwd()\n"
+    mine = "Copyright (c) 2024 The Hill Walkers\n\n"
+    want = {
+        "p/apache.py": (wrapped(licenses.HEADERS["Apache-2.0"], "# ") + "\n" + code, "Apache-2.0", False),
+        "p/mpl.c": ("/*\n" + wrapped(licenses.HEADERS["MPL-2.0"], " * ", 50) + "\n */\n" + code, "MPL-2.0", False),
+        "p/gpl.js": (wrapped(licenses.HEADERS["GPL-3.0"], "// ") + "\n" + code, "GPL-3.0", False),
+        "p/spdx.rs": ("// SPDX-License-Identifier: MIT\n" + code, "MIT", False),
+        "p/spdx.go": ("// SPDX-License-Identifier: BSD-3-Clause\n" + code, "BSD-3-Clause", False),
+        "p/split.md": ("A page about walks.\n\nReleased under\nthe MIT License.\n\nMore about walks.", "MIT", False),
+        "mit/LICENSE": ("MIT License\n\n" + mine + wrapped(licenses.WHOLE["MIT"]), "MIT", True),
+        "bsd3/COPYING": (mine + wrapped(licenses.WHOLE["BSD-3-Clause"], "", 72), "BSD-3-Clause", True),
+        "bsd2/COPYING": (mine + wrapped(licenses.WHOLE["BSD-2-Clause"], "", 72), "BSD-2-Clause", True),
+        "isc/any-name": (mine + wrapped(licenses.WHOLE["ISC"], "", 40), "ISC", True),
+        "gpl/head": ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", "GPL-3.0", True),
+        "q/prose": ("Choosing a licence is hard. The MIT license is popular, the GNU General Public License is strict about changes "
+                    "and the Apache License also speaks of patents.\nRead the license of each package before you ship it.", None, False),
+        "q/plain": (code, None, False),
+    }
+    files = spark.createDataFrame([(p, t) for p, (t, *_) in want.items()] + [("mit/src/a.py", code), ("bsd3/b.py", code)], "path string, text string")
+    corpus = files.unionByName(docs.selectExpr("concat('docs/', doc_id) AS path", "text"))
+    prepare(spark)
+    got = {r.path: r for r in licenses.scan_files(corpus).where("path NOT LIKE 'docs/%'").collect()}
+    assert {p: (r.license, r.is_license_file) for p, r in got.items() if p in want} == {p: (name, whole) for p, (_, name, whole) in want.items()}
+    assert (got["mit/src/a.py"].license, got["mit/src/a.py"].from_dir) == ("MIT", "mit")
+    assert (got["bsd3/b.py"].license, got["bsd3/b.py"].origin) == ("BSD-3-Clause", "inherited")
+
+
 def test_licence_query_takes_rows_without_id_source_or_language(spark, tmp_path):
     mit, gpl = licenses.NOTICES["MIT"], licenses.NOTICES["GPL-3.0"]
     given = [(None, mit, "en", "s", 1), (None, gpl, "en", "s", 1), (None, None, None, None, None), (5, mit, None, "s", 1),
@@ -378,22 +461,23 @@ def test_licence_query_takes_rows_without_id_source_or_language(spark, tmp_path)
 
 def test_cosines_against_brute_force(spark, docs, rows):
     paths = docs.select(F.col("doc_id").cast("string").alias("path"), "text").where("path IS NOT NULL")
-    got = {(r.path, r.line_no): (r.license, round(r.cosine, 9)) for r in licenses.licensed_lines(paths).collect()}
+    got = {(r.path, r.line_no, r.n_lines): (r.license, round(r.cosine, 9)) for r in licenses.licensed_units(paths).collect()}
     split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     files = [(str(d), t) for d, t, _ in rows if d is not None]
     df = collections.Counter(w for _, t in files for w in set(split(t)))
     weigh = lambda t: {w: n * (np.log((1 + len(files)) / (1 + df[w])) + 1) for w, n in collections.Counter(split(t)).items()}
     size = lambda v: np.sqrt(sum(x * x for x in v.values()))
-    templates = {k: weigh(t) for k, t in licenses.NOTICES.items()}
+    templates = [(name, v := weigh(t), size(v)) for name, t in licenses.standard_templates()]
     want = {}
     for path, text in files:
-        for k, line in enumerate((text or "").split("\n")):
-            v = weigh(line)
-            if v and len(v) < 200:
-                cos = {n: sum(v.get(w, 0) * x for w, x in t.items()) / size(v) / size(t) for n, t in templates.items()}
-                best = min(cos, key=lambda n: (-round(cos[n], 12), n))
-                if cos[best] >= 0.8:
-                    want[path, k] = (best, round(float(cos[best]), 9))
+        lines = (text or "").split("\n")
+        for i, n in licenses.units(lines):
+            v = weigh("\n".join(lines[i:i + n]))
+            if len(v) < 300:
+                own = size(v)
+                best = min(((-round(sum(v.get(w, 0) * x for w, x in t.items()) / own / norm, 12), name) for name, t, norm in templates))
+                if -best[0] >= 0.8:
+                    want[path, i, n] = (best[1], round(float(-best[0]), 9))
     assert got == want and want
 
 
