@@ -5,12 +5,13 @@ from dataclasses import replace
 
 import pytest
 from month import CFG, account, customer, extract, txn, write_csv
+from pyspark.sql import functions as F
 
 from veritally.config import Config
 from veritally.plans import pipeline
 from veritally.plans.report import build_report
 from veritally.sources.extract import (
-    COLUMNS, read_extract, read_manifest, write_extract, write_manifest)
+    COLUMNS, Extract, read_extract, read_manifest, write_extract, write_manifest)
 from veritally.sources.manifest_document import read_manifest_document, write_manifest_document
 from veritally.sources.sinks import VersionedTable, read_section
 
@@ -133,6 +134,23 @@ def test_the_document_holds_every_section(spark, dirty, manifest, cfg, tmp_path)
     assert [r["rule_id"] for r in report["rules"]] == sorted(r["rule_id"] for r in report["rules"])
 
 
+def test_a_rerun_resumes_where_the_last_one_died(spark, dirty, manifest, cfg, tmp_path):
+    """The second run reads what the first wrote: its own extract would fail in every job."""
+    lost = F.raise_error(F.lit("lost")).cast("string")
+    dies = Extract(**{t: lambda t=t: getattr(dirty, t).withColumn(COLUMNS[t][0], lost) for t in COLUMNS})
+    no_closing = Extract(**{**{t: lambda t=t: getattr(dirty, t) for t in COLUMNS}, "closing_balances": lambda: dies.closing_balances})
+    with pytest.raises(Exception, match="lost"):
+        build_report(no_closing, manifest, cfg, str(tmp_path), delivery="d1")
+    transactions = VersionedTable(spark, str(tmp_path / "tables" / "raw_transactions"))
+    assert transactions.version == 1
+    first = build_report(dirty, manifest, cfg, str(tmp_path), delivery="d1")["document"].first().document
+    assert transactions.version == 1 and VersionedTable(spark, str(tmp_path / "tables" / "raw_closing_balances")).version == 1
+    assert build_report(dies, manifest, cfg, str(tmp_path), delivery="d1")["document"].first().document == first
+    with pytest.raises(Exception, match="lost"):
+        build_report(dies, manifest, cfg, str(tmp_path), delivery="d2")
+    assert read_section(spark, str(tmp_path / "report"), "document").first().document == first
+
+
 def _values(rows):
     return sorted(r.v for r in rows.collect())
 

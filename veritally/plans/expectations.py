@@ -108,40 +108,39 @@ def evaluate(raw: Extract, suite: str, cfg: Config) -> DataFrame:
     elif suite == "accounts":
         flagged = mark_member(rows, "branch_code", raw.branches, "branch_code", "branch_code_known")
     chosen = list(enumerate(e for e in EXPECTATIONS if e.suite == suite))
-    by_row = [(i, e) for i, e in chosen if e.kind != UNIQUE]
-    repeated = {
-        i: repeated_keys(rows.where(f"{e.column} IS NOT NULL"), e.column).withColumnRenamed(e.column, "value")
-        for i, e in chosen if e.kind == UNIQUE
-    }
-
-    fails = [f"count_if({e.fails(cfg)}) AS n{i}" for i, e in by_row]
-    totals = aggregate(flagged, [], "count(*) AS element_count", *fails)
-    per_row = ", ".join(f"struct({i} AS i, n{i} AS unexpected_count, element_count)" for i, _ in by_row)
-    counted = [totals.selectExpr("inline(array(" + per_row + "))")]
-    for i, values in repeated.items():
-        counted.append(aggregate(values, [], "coalesce(sum(copies), 0) AS unexpected_count").selectExpr(
-            f"{i} AS i", "unexpected_count", "CAST(NULL AS BIGINT) AS element_count"))
-    samples = _samples(flagged, by_row, repeated, cfg)
-    names = ", ".join(f"struct('{e.kind}' AS expectation, '{e.column}' AS column)" for _, e in chosen)
+    by_row = _unexpected_by_row(flagged, [(i, e) for i, e in chosen if e.kind != UNIQUE], cfg)
+    unexpected = stacked([by_row.where("i >= 0")] + [
+        repeated_keys(rows.where(f"{e.column} IS NOT NULL"), e.column).selectExpr(f"{i} AS i", f"{e.column} AS value", "copies")
+        for i, e in chosen if e.kind == UNIQUE])
+    counts = aggregate(unexpected, ["i"], "sum(copies) AS unexpected")
+    elements = aggregate(by_row.where("i = -1"), [], "coalesce(sum(copies), 0) AS n").scalar()
+    names = ", ".join(f"struct({i} AS i, '{e.kind}' AS expectation, '{e.column}' AS column)" for i, e in chosen)
+    every = rows.sparkSession.sql(f"SELECT inline(array({names}))")
     return (
-        stacked(counted).join(samples, "i", "left")
-        # One row per expectation; those of one column alone did not count the rows.
-        .selectExpr("* EXCEPT (element_count)", "max(element_count) OVER () AS element_count", f"array({names})[i] AS name")
-        .selectExpr(f"'{suite}' AS suite", "name.expectation", "name.column", "unexpected_count = 0 AS success",
+        every.join(counts, "i", "left").join(_samples(unexpected), "i", "left")
+        .withColumn("element_count", elements)
+        .selectExpr("*", "coalesce(unexpected, 0L) AS unexpected_count")
+        .selectExpr(f"'{suite}' AS suite", "expectation", "column", "unexpected_count = 0 AS success",
                     "unexpected_count", "element_count", "coalesce(sample, CAST(array() AS ARRAY<STRING>)) AS sample")
     )
 
 
-def _samples(flagged: DataFrame, by_row: list, repeated: dict[int, DataFrame], cfg: Config) -> DataFrame:
-    shown = ", ".join(
-        f"if({e.fails(cfg)}, struct({i} AS i, {e.shown or e.column} AS value), NULL)"
-        for i, e in by_row if e.kind != NOT_NULL
-    )
-    bad = flagged.selectExpr(f"explode(array({shown})) AS bad").where("bad IS NOT NULL")
-    values = [bad.selectExpr("bad.i", "bad.value", "1 AS copies")]
-    values += [again.selectExpr(f"{i} AS i", "value", "CAST(least(copies, 3) AS INT) AS copies") for i, again in repeated.items()]
-    top = first_n(stacked(values), "i", "value", 3).selectExpr("i", "place", "array_repeat(value, copies) AS value")
-    return aggregate(top, ["i"], f"slice(flatten({in_place('value')}), 1, 3) AS sample")
+def _unexpected_by_row(flagged: DataFrame, by_row: list[tuple[int, Expectation]], cfg: Config) -> DataFrame:
+    """(i, value, copies): each unexpected value of each expectation, and under -1 all rows.
+
+    One pass; equal values are counted in the map tasks. Counts and samples both start from this shuffle.
+    """
+    tests = ", ".join(
+        f"IF({e.fails(cfg)}, struct({i} AS i, CAST({'NULL' if e.kind == NOT_NULL else e.shown or e.column} AS STRING) AS value), NULL)"
+        for i, e in by_row)
+    each = flagged.selectExpr(f"explode(array_compact(array(struct(-1 AS i, CAST(NULL AS STRING) AS value), {tests}))) AS bad")
+    return aggregate(each, ["bad.i AS i", "bad.value AS value"], "count(*) AS copies")
+
+
+def _samples(unexpected: DataFrame) -> DataFrame:
+    top = first_n(unexpected.where("value IS NOT NULL"), "i", "value", 3)
+    repeated = top.selectExpr("i", "place", "array_repeat(value, CAST(least(copies, 3) AS INT)) AS value")
+    return aggregate(repeated, ["i"], f"slice(flatten({in_place('value')}), 1, 3) AS sample")
 
 
 def evaluate_all(raw: Extract, cfg: Config) -> DataFrame:

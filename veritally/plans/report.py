@@ -14,7 +14,7 @@ from veritally.plans import expectations, rules, score
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source
 from veritally.sources.extract import COLUMNS, Extract
-from veritally.sources.sinks import read_section, write_sections, written_table
+from veritally.sources.sinks import read_section, write_sections, written_table as _written_table
 
 
 def counts(raw: Extract) -> DataFrame:
@@ -52,7 +52,7 @@ def document(sections: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_report(
-    raw: Extract, manifest: DataFrame, cfg: Config, folder: str, faults: Iterable[str] = ()
+    raw: Extract, manifest: DataFrame, cfg: Config, folder: str, faults: Iterable[str] = (), delivery: str | None = None
 ) -> dict[str, DataFrame]:
     """Write stages under ``folder/tables`` and sections under ``folder/report``; return the sections.
 
@@ -60,8 +60,16 @@ def build_report(
     checks are written once and read back, so is every section, and at last all sections as one JSON document: a
     lost executor costs only its own tasks. Every table is versioned: a rerun that dies leaves the last
     report readable. ``folder`` must be one every executor can reach; all that is written lies in it.
+
+    ``delivery`` names the extract and its manifest. With it a rerun resumes: tables that were written for the same
+    delivery, settings and faults are read, the others are written. Give a new name to changed data.
     """
-    tables = f"{folder}/tables"
+    tables, faults = f"{folder}/tables", sorted(faults)
+    label = None if delivery is None else f"{delivery} {cfg} {faults}"
+
+    def written_table(rows: DataFrame, path: str, *how) -> DataFrame:
+        return _written_table(rows, path, *how, label=label)
+
     given = raw
     raw = Extract(**{t: lambda t=t: written_table(getattr(given, t), f"{tables}/raw_{t}") for t in COLUMNS})
     out, source = Pipeline(raw, cfg, Runs.single(faults)), Source(raw, cfg)
@@ -72,11 +80,12 @@ def build_report(
     out.quarantine = written_table(out.quarantine, f"{tables}/quarantine_transactions")
     out.staging = written_table(out.staging, f"{tables}/stg_transactions")
     out.daily = written_table(out.daily, f"{tables}/rpt_daily_branch_summary", ("report_date", "branch_code"), "report_date")
+    out.account_runs = written_table(out.account_runs, f"{tables}/account_runs")
     out.balances = written_table(out.balances, f"{tables}/rpt_account_balances", ("account_id",))
     checks = Checks(source, out)
     by_rule = written_table(score.rule_scores(raw, found), f"{tables}/rule_scores")
     by_dimension = score.dimension_scores(by_rule)
-    ids = quoted(*sorted(faults))
+    ids = quoted(*faults)
     sections = {
         "run": aggregate(out.daily, [], "count(*) AS report_rows").selectExpr(
             f"'{cfg.as_of}' AS as_of", f"CAST(array({ids}) AS ARRAY<STRING>) AS pipeline_faults", "report_rows"),
@@ -92,7 +101,7 @@ def build_report(
         "quarantine": quarantine_breakdown(out.quarantine).orderBy("reject_reason"),
     }
     spark = raw.transactions.sparkSession
-    write_sections(sections, f"{folder}/report")
+    write_sections(sections, f"{folder}/report", label)
     read = {name: read_section(spark, f"{folder}/report", name) for name in sections}
-    write_sections({"document": document(read)}, f"{folder}/report")
+    write_sections({"document": document(read)}, f"{folder}/report", label)
     return read | {"document": read_section(spark, f"{folder}/report", "document")}

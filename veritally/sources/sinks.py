@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PLACES = ("a", "b")
 
@@ -23,49 +25,67 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _marks(self) -> dict[str, int]:
+    def _marks(self) -> dict[str, Row]:
         try:
-            rows = self.spark.read.schema("place string, number long").json(f"{self.folder}/commit-*").collect()
+            rows = self.spark.read.schema("place string, number long, label string").json(f"{self.folder}/commit-*").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             rows = []
-        return {r.place: r.number for r in rows}
+        return {r.place: r for r in rows}
+
+    def _current(self) -> Row | None:
+        return max(self._marks().values(), key=lambda m: m.number, default=None)
 
     @property
     def version(self) -> int:
         """The number of the current version, 0 where none has been written."""
-        return max(self._marks().values(), default=0)
+        mark = self._current()
+        return mark.number if mark else 0
+
+    @property
+    def label(self) -> str | None:
+        """What the current version was written under."""
+        mark = self._current()
+        return mark.label if mark else None
 
-    def write(self, rows: DataFrame, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
+    def write(self, rows: DataFrame, order: tuple[str, ...] = (), partition_by: str | None = None, label: str | None = None) -> DataFrame:
         """Replace the table and read it back. Files are sorted by ``order``; with ``partition_by`` each
         value is one folder with one file, which suits report tables of bounded size."""
-        marks = self._marks()
-        place = min(PLACES, key=lambda p: marks.get(p, 0))
+        numbers = {place: mark.number for place, mark in self._marks().items()}
+        place = min(PLACES, key=lambda p: numbers.get(p, 0))
         if partition_by:
             rows = rows.repartition(partition_by)
         writer = (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.folder}/data-{place}")
-        number = max(marks.values(), default=0) + 1
-        mark = self.spark.range(1, numPartitions=1).selectExpr(f"'{place}' AS place", f"{number}L AS number")
+        number = max(numbers.values(), default=0) + 1
+        mark = self.spark.range(1, numPartitions=1).select(
+            F.lit(place).alias("place"), F.lit(number).cast("long").alias("number"), F.lit(label).cast("string").alias("label"))
         mark.write.mode("overwrite").json(f"{self.folder}/commit-{place}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/data-{place}")
 
-    def read(self) -> DataFrame:
-        marks = self._marks()
-        if not marks:
+    def read(self, schema: StructType | None = None) -> DataFrame:
+        mark = self._current()
+        if mark is None:
             raise FileNotFoundError(f"{self.folder}: no version has been written")
-        return self.spark.read.parquet(f"{self.folder}/data-{max(marks, key=marks.get)}")
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(f"{self.folder}/data-{mark.place}")
 
 
-def written_table(rows: DataFrame, path: str, order: tuple[str, ...] = (), partition_by: str | None = None) -> DataFrame:
-    """Replace the table at ``path`` and read it back, so later jobs start from the files."""
-    return VersionedTable(rows.sparkSession, path).write(rows, order, partition_by)
+def written_table(
+    rows: DataFrame, path: str, order: tuple[str, ...] = (), partition_by: str | None = None, label: str | None = None
+) -> DataFrame:
+    """Replace the table at ``path`` and read it back, so later jobs start from the files. A table that was
+    written under the same ``label`` already is only read."""
+    table = VersionedTable(rows.sparkSession, path)
+    if label is not None and table.label == label:
+        return table.read(rows.schema)
+    return table.write(rows, order, partition_by, label)
 
 
-def write_sections(sections: Mapping[str, DataFrame], folder: str) -> None:
+def write_sections(sections: Mapping[str, DataFrame], folder: str, label: str | None = None) -> None:
     for name, rows in sections.items():
-        written_table(rows, f"{folder}/{name}")
+        written_table(rows, f"{folder}/{name}", label=label)
 
 
 def read_section(spark: SparkSession, folder: str, name: str) -> DataFrame:
