@@ -17,14 +17,12 @@ different components are gone through pair by pair, in blocks of bounded size, a
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally.llm.components import connected_components
@@ -52,46 +50,49 @@ class Sketches:
         return s * seen - self.slack * (seen * s * (1 - s)) ** 0.5
 
 
-#: Word hashes a Python worker remembers.
-MOST_CACHED = 1 << 19
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A random number per byte and place in a word (after 64 places they repeat, times an odd factor).
+LETTERS = np.random.default_rng(17).integers(0, 1 << 64, 64 << 8, np.uint64)
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = xxhash.xxh64_intdigest(word)
-        return number
-
-
-@lru_cache(maxsize=1)
-def _word_hashes() -> _WordHashes:
-    return _WordHashes()
-
+def _lowered(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
-def shingle_set(lowered: bytes, n: int) -> tuple[list[bytes], np.ndarray]:
-    """(words, sorted distinct hashes of the n-word shingles) of a text whose A-Z are lower-cased.
 
-    A text of fewer words has one shingle of all, one without words none.
-    """
-    words = lowered.split()
-    if len(words) <= n:
-        return words, np.array([xxhash.xxh64_intdigest(b" ".join(words))] if words else [], np.uint64)
-    known = _word_hashes()
-    if len(known) > MOST_CACHED:
-        known.clear()
-    hashed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out = np.zeros(len(words) - n + 1, np.uint64)
+def word_hashes(lowered: bytes) -> np.ndarray:
+    """64 bits for each word: the sum of its letters' random numbers, mixed with its length."""
+    data = np.frombuffer(lowered, np.uint8)
+    inside = ~SPACE[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
+    values = LETTERS[(place & 63) << 8 | data[inside]] * ((place >> 6 << 1) + 1).astype(np.uint64)
+    out = (np.add.reduceat(values, first) ^ lengths.astype(np.uint64)) * FACTOR
+    return out ^ out >> np.uint64(32)
+
+
+def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the n-word shingles; fewer words are one shingle, none have none."""
+    n = min(n, len(words))
+    out = np.zeros(len(words) - n + 1 if n else 0, np.uint64)
     for i in range(n):
-        out = (out ^ hashed[i:len(words) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(32)
-    return words, np.unique(out)
+        out = (out ^ words[i:len(words) - n + 1 + i]) * FACTOR
+        out ^= out >> np.uint64(29)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
 
-def _lowered(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass").lower()
+def full_set(text: str | None, how: Sketches) -> np.ndarray:
+    return shingle_set(word_hashes(_lowered(text)), how.words)
 
 
-def _digest(words: list[bytes]) -> bytes | None:
-    return hashlib.md5(b" ".join(words)).digest() if words else None
+def text_key(words: np.ndarray) -> bytes | None:
+    """128 bits for a sequence of words, None without words."""
+    return hashlib.md5(words.tobytes()).digest() if len(words) else None
 
 
 def sketches(docs: DataFrame, how: Sketches) -> DataFrame:
@@ -103,10 +104,11 @@ def sketches(docs: DataFrame, how: Sketches) -> DataFrame:
         for batch in batches:
             keys, sizes, lists = [], [], []
             for text in batch.column("text").to_pylist():
-                words, hashes = shingle_set(_lowered(text), n)
-                keys.append(_digest(words))
+                words = word_hashes(_lowered(text))
+                hashes = shingle_set(words, n)
+                keys.append(text_key(words))
                 sizes.append(len(hashes))
-                lists.append(hashes[:k].view(np.int64) if words else None)
+                lists.append(hashes[:k].view(np.int64) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("sum"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "sum", "key", "n_shingles", "sketch"])
@@ -159,19 +161,18 @@ def linked(pairs: DataFrame, texts: DataFrame, how: Sketches) -> DataFrame:
     dealt = pairs.join(centres, "b").selectExpr("a AS node", "b", "CAST(pmod(xxhash64(a), blocks) AS INT) AS block")
     both = dealt.unionByName(centres.selectExpr("b AS node", "b", "explode(sequence(0, blocks - 1)) AS block"))
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pydict()
-        sets = {node: shingle_set(_lowered(text), how.words)[1] for node, text in zip(rows["node"], rows["text"])}
-        centre = rows["b"][0] if rows["b"] else None
+    def run(rows: list[tuple]) -> list[tuple[int, int]]:
+        centre = rows[0][0]
+        sets = {node: full_set(text, how) for _, _, node, text in rows}
         near = []
         for node in sorted(sets):
             common = len(np.intersect1d(sets[node], sets[centre], assume_unique=True))
             if node != centre and how.of * common >= how.least * (len(sets[node]) + len(sets[centre]) - common):
-                near.append(node)
-        return pa.table({"a": pa.array(near, pa.int64()), "b": pa.array([centre] * len(near), pa.int64())})
+                near.append((node, centre))
+        return near
 
-    met = texts.join(both.hint("merge"), "node").select("node", "b", "block", "text")
-    return _by_group(met, "b", "block").applyInArrow(run, "a long, b long")
+    met = texts.join(both.hint("merge"), "node").select("b", "block", "node", "text")
+    return _by_group(met, 2, run)
 
 
 def common_values(sets: list[np.ndarray]) -> np.ndarray:
@@ -237,27 +238,50 @@ def compared_lists(mixed: DataFrame, texts: DataFrame, how: Sketches) -> DataFra
     dealt = kept.selectExpr("*", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block", "explode(sequence(0, blocks - 1)) AS other")
     sent = dealt.selectExpr("list", "node", "component", "block", "least(block, other) AS i", "greatest(block, other) AS j")
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("node").to_pydict()
-        component, block, now = np.array(rows["component"]), np.array(rows["block"]), rows["list"][0]
-        earlier = common_values([np.array([x for x in own if x < now], np.int64) for own in rows["lists"]])
-        fit = np.triu((earlier == 0) & (component[:, None] != component), 1)
-        if rows["i"][0] != rows["j"][0]:
+    def run(rows: list[tuple]) -> list[tuple[int, int]]:
+        now, i, j = rows[0][:3]
+        nodes, component, block, texts, lists = zip(*[r[3:] for r in sorted(rows, key=lambda r: r[3])])
+        component, block = np.array(component), np.array(block)
+        fit = np.triu(component[:, None] != component, 1)
+        if i != j:
             fit &= block[:, None] != block
+        if fit.any():
+            fit &= common_values([np.array([x for x in own if x < now], np.int64) for own in lists]) == 0
         some = np.flatnonzero(fit.any(0) | fit.any(1))
-        sets = [shingle_set(_lowered(rows["text"][i]), how.words)[1] for i in some]
-        edges = linked_in(sets, fit[np.ix_(some, some)], how) if len(some) else []
-        nodes = [rows["node"][i] for i in some]
-        return pa.table({"a": pa.array([nodes[x] for x, _ in edges], pa.int64()), "b": pa.array([nodes[y] for _, y in edges], pa.int64())})
+        edges = linked_in([full_set(texts[k], how) for k in some], fit[np.ix_(some, some)], how) if len(some) else []
+        return [(nodes[some[x]], nodes[some[y]]) for x, y in edges]
 
     met = sent.join(texts.hint("merge"), "node").join(own, "node")
-    return _by_group(met, "list", "i", "j").applyInArrow(run, "a long, b long")
+    return _by_group(met.select("list", "i", "j", "node", "component", "block", "text", "lists"), 3, run)
+
 
+def _by_group(rows: DataFrame, keys: int, run: Callable[[list[tuple]], list[tuple[int, int]]]) -> DataFrame:
+    """Pairs (a, b) that ``run`` makes of the rows of each group; the first ``keys`` columns name it.
+
+    Groups are dealt over as many tasks as shuffles have, as few bytes may be much work, and a task
+    holds one group, of bounded size, at a time.
+    """
+    names = rows.columns[:keys]
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*pairs) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: list[tuple] = []
+        for batch in batches:
+            pairs: list[tuple[int, int]] = []
+            for row in zip(*[column.to_pylist() for column in batch.columns]):
+                if held and held[0][:keys] != row[:keys]:
+                    pairs += run(held)
+                    held = []
+                held.append(row)
+            yield out(pairs)
+        if held:
+            yield out(run(held))
 
-def _by_group(rows: DataFrame, *keys: str) -> GroupedData:
-    """Groups over as many tasks as shuffles have: few bytes may be much work."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, *keys).groupBy(*keys)
+    return rows.repartition(tasks, *names).sortWithinPartitions(*names).mapInArrow(stream, "a long, b long")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -289,7 +313,7 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for node, key, text in zip(*[batch.column(c).to_pylist() for c in ("node", "key", "text")]):
-                keep.append(node != before and _digest(_lowered(text).split()) == key)
+                keep.append(node != before and text_key(word_hashes(_lowered(text))) == key)
                 before = node if keep[-1] else before  # rows that repeat an id and a text follow each other
             yield batch.select(["node", "text"]).filter(pa.array(keep, pa.bool_()))
 
