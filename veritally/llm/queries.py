@@ -15,17 +15,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its base counts and verdict; NULL and empty texts have no words and fail the base rules, repeated rows are judged alike."""
     scored = quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "__quality.*")
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words the mix takes of it; NULL is a source of its own, NULL and empty texts have size 0 and take nothing."""
     sized = mixing.with_size(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.mix_documents(written(sized))
     return mixed.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken", "source", "copies")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score; NULL and empty texts get the score of a text without sentences, rows without a label are scored too."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_documents(docs, model)
@@ -35,18 +38,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard and slot by law ``bytes``; NULL and empty texts are equal texts of size 1, rows that repeat an id stand for themselves."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives give it back; a NULL html is an empty payload, rows that repeat an id are records of their own."""
     return warc_bundles.archive(table(spark, sf_dir, "pages"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and links; NULL and wordless texts are linked with nothing, copies count as links."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what was removed; NULL and empty texts have no bytes, equal rows remove each other."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
@@ -70,10 +77,12 @@ def word_pieces() -> token_shards.Encoding:
 
 
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the token files give it back, NULL ids first; a NULL or empty text is the end id alone."""
     return token_shards.encode_documents(table(spark, sf_dir, "documents"), word_pieces())
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its hits; NULL and wordless texts have none, rows that repeat an id are judged by their own texts."""
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
