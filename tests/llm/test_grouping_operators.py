@@ -157,7 +157,7 @@ def copies():
     return rows
 
 
-@pytest.mark.parametrize("how", [bottom_sketches.Sketches(), bottom_sketches.Sketches(block=4, star_rounds=1)])
+@pytest.mark.parametrize("how", [bottom_sketches.Sketches(), bottom_sketches.Sketches(block=4, list_block=10, star_rounds=1)])
 def test_components_match_brute_force(spark, copies, how):
     prepare(spark)
     docs = with_clashes(spark.createDataFrame(copies, "doc_id long, text string"))
@@ -229,7 +229,7 @@ def talks():
 def test_trie_matches_brute_force(spark, talks, how):
     prepare(spark)
     if how.stretch == 1:
-        talks = [r for r in talks if (r[0] or 0) < 150]
+        talks = [r for r in talks if (r[0] or 0) < 50]
     given = with_clashes(spark.createDataFrame(talks, TURNS))
     got = collections.Counter(tuple(r) for r in conversation_trie.trie_nodes(given, how).collect())
     assert got == brute_trie(talks)

@@ -41,7 +41,8 @@ class Sketches:
     slack: float = 6.0
     #: Leaders' rounds before the remaining lists are gone through.
     star_rounds: int = 2
-    #: Texts of a list that are compared with as many others in one task, and texts verified at once.
+    #: Texts of a list that are compared with as many others in one task, by so many at a time.
+    list_block: int = 4096
     block: int = 256
 
     def least_common(self, seen: int) -> float:
@@ -232,7 +233,7 @@ def compared_lists(mixed: DataFrame, texts: DataFrame, how: Sketches) -> DataFra
     sizes = mixed.groupBy("list").agg(F.count("*").alias("n"), *[
         F.sum(F.expr(f"xxhash64(node, {seed}) >> 32")).alias(f"d{seed}") for seed in (1, 2)])
     sizes = sizes.groupBy("n", "d1", "d2").agg(F.min("list").alias("list"))
-    sizes = sizes.selectExpr("list", f"CAST(ceil(n / {how.block}) AS INT) AS blocks")
+    sizes = sizes.selectExpr("list", f"CAST(ceil(n / {how.list_block}) AS INT) AS blocks")
     kept = written(mixed.join(sizes, "list"))
     own = kept.groupBy("node").agg(F.collect_set("list").alias("lists"))  # at most as many as a sketch has runs
     dealt = kept.selectExpr("*", "CAST(pmod(xxhash64(node), blocks) AS INT) AS block", "explode(sequence(0, blocks - 1)) AS other")
@@ -242,14 +243,29 @@ def compared_lists(mixed: DataFrame, texts: DataFrame, how: Sketches) -> DataFra
         now, i, j = rows[0][:3]
         nodes, component, block, texts, lists = zip(*[r[3:] for r in sorted(rows, key=lambda r: r[3])])
         component, block = np.array(component), np.array(block)
-        fit = np.triu(component[:, None] != component, 1)
-        if i != j:
-            fit &= block[:, None] != block
-        if fit.any():
-            fit &= common_values([np.array([x for x in own if x < now], np.int64) for own in lists]) == 0
-        some = np.flatnonzero(fit.any(0) | fit.any(1))
-        edges = linked_in([full_set(texts[k], how) for k in some], fit[np.ix_(some, some)], how) if len(some) else []
-        return [(nodes[some[x]], nodes[some[y]]) for x, y in edges]
+        earlier = [np.array([x for x in own if x < now], np.int64) for own in lists]
+        known: dict[int, np.ndarray] = {}
+        edges = []
+        starts = range(0, len(nodes), how.block)
+        for p, q in ((p, q) for p in starts for q in starts if p <= q):
+            part = np.unique([*range(p, min(p + how.block, len(nodes))), *range(q, min(q + how.block, len(nodes)))])
+            fit = np.triu(component[part][:, None] != component[part], 1)
+            if p < q:
+                fit &= (part < q)[:, None] & (part >= q)
+            if i != j:
+                fit &= block[part][:, None] != block[part]
+            if not fit.any():
+                continue
+            fit &= common_values([earlier[k] for k in part]) == 0
+            some = np.flatnonzero(fit.any(0) | fit.any(1))
+            if not len(some):
+                continue
+            at = part[some]
+            known.update({k: full_set(texts[k], how) for k in at.tolist() if k not in known})
+            for x, y in linked_in([known[k] for k in at.tolist()], fit[np.ix_(some, some)], how):
+                edges.append((nodes[at[x]], nodes[at[y]]))
+                component[component == component[at[y]]] = component[at[x]]  # need not meet again here
+        return edges
 
     met = sent.join(texts.hint("merge"), "node").join(own, "node")
     return _by_group(met.select("list", "i", "j", "node", "component", "block", "text", "lists"), 3, run)
