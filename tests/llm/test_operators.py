@@ -449,6 +449,28 @@ def test_headers_licence_files_and_prose(spark, docs):
     assert (got["bsd3/b.py"].license, got["bsd3/b.py"].origin) == ("BSD-3-Clause", "inherited")
 
 
+def test_a_header_makes_a_licence_file_only_where_nothing_else_stands(spark):
+    """A file that opens with a header says nothing for its directory, however short its own text."""
+    header = wrapped(licenses.HEADERS["GPL-3.0"], "# ")
+    given = spark.createDataFrame([("a/one.py", header + "\nrun()"), ("a/two.py", "walk"), ("b/HEAD", header), ("b/two.py", "walk")], "path string, text string")
+    prepare(spark)
+    got = {(r.path, r.license, r.origin, r.is_license_file) for r in licenses.scan_files(given).collect()}
+    assert got == {("a/one.py", "GPL-3.0", "own", False), ("a/two.py", None, None, False),
+                   ("b/HEAD", "GPL-3.0", "own", True), ("b/two.py", "GPL-3.0", "inherited", False)}
+
+
+def test_words_of_the_corpus_are_counted_before_they_move(spark, docs):
+    """Each task sends a row per distinct word, not per word of a file, whatever the words are then joined with."""
+    files = docs.selectExpr("doc_id AS path", "text")
+    prepare(spark)
+    counts = licenses.document_counts(files)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("partial_count") < plan.index("Generate") and plan.count("Exchange") == 1
+    want = collections.Counter(w for r in files.collect() for w in set(re.findall(r"[^\W_]+", (r.text or "").lower())))
+    got = {r.word: r.n for r in counts.collect()}
+    assert {w: n for w, n in got.items() if w.isascii()} == {w: n for w, n in want.items() if w.isascii()}
+
+
 def test_licence_query_takes_rows_without_id_source_or_language(spark, tmp_path):
     mit, gpl = licenses.NOTICES["MIT"], licenses.NOTICES["GPL-3.0"]
     given = [(None, mit, "en", "s", 1), (None, gpl, "en", "s", 1), (None, None, None, None, None), (5, mit, None, "s", 1),

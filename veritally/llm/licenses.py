@@ -117,10 +117,14 @@ def template_words(spark: SparkSession, scan: Scan) -> DataFrame:
         "template", "license", "word").agg(F.count("*").alias("tf"))
 
 
-def idf(files: DataFrame, words: DataFrame, n_files: int) -> DataFrame:
-    """(word, idf) of the given distinct words, counted over all files; 1 at least."""
-    found = files.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
-    n = found.join(words, "word").groupBy("word").agg(F.count("*").alias("n"))
+def document_counts(files: DataFrame) -> DataFrame:
+    """(word, n): in how many files each word of the corpus stands; map tasks reduce to their distinct words."""
+    return files.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+
+def idf(counts: DataFrame, words: DataFrame, n_files: int) -> DataFrame:
+    """(word, idf) of the given distinct words, by :func:`document_counts` of all files; 1 at least."""
+    n = counts.join(words, "word", "left_semi")
     return words.join(n, "word", "left").select("word", F.expr(f"ln((1 + {n_files}) / (1 + coalesce(n, 0))) + 1").alias("idf"))
 
 
@@ -205,7 +209,8 @@ def able_units(files: DataFrame, rows: list[tuple[int, str, float, float]], scan
 
 
 def licensed_units(files: DataFrame, scan: Scan = Scan()) -> DataFrame:
-    """(path, line_no, n_lines, is_whole, license, cosine): units near enough to a template, with the best one.
+    """(path, line_no, n_lines, is_whole, license, cosine, of_header): units near enough to a template, with the best
+    one, and whether that is a standard header.
 
     Ties go to the first identifier. NULL and empty texts have no units. Files without a path are not
     scanned: nothing could name or inherit their licence.
@@ -213,7 +218,8 @@ def licensed_units(files: DataFrame, scan: Scan = Scan()) -> DataFrame:
     files = files.where("path IS NOT NULL").select("path", "text")
     spark, n_files = files.sparkSession, files.count()
     templates = written(template_words(spark, scan))
-    weights = written(idf(files, templates.select("word").distinct(), n_files))
+    counts = written(document_counts(files))
+    weights = written(idf(counts, F.broadcast(templates.select("word").distinct()), n_files))  # the templates' words
     vectors = templates.join(weights, "word").withColumn("weight", F.expr("tf * idf"))
     norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.expr("weight * weight"))).alias("norm"))
     vectors = written(vectors.join(norms, "template").select("template", "license", "word", "tf", "idf", "weight", "norm"))
@@ -224,15 +230,17 @@ def licensed_units(files: DataFrame, scan: Scan = Scan()) -> DataFrame:
 
     words = able.select(*unit, "unit_id", F.explode(_words(F.col("unit"))).alias("word"))
     counted = words.groupBy(*unit, "unit_id", "word").agg(F.count("*").alias("tf"))
-    own = written(idf(files, written(words.select("word").distinct()), n_files))
+    own = written(idf(counts, written(words.select("word").distinct()), n_files))
     weighed = written(counted.join(own, "word").select(*unit, "unit_id", "word", F.expr("tf * idf").alias("own")))
     unit_norm = weighed.groupBy(*unit, "unit_id").agg(F.sqrt(F.sum(F.expr("own * own"))).alias("unit_norm"))
     dots = weighed.join(vectors.select("template", "license", "word", "weight", "norm"), "word").groupBy(
         *unit, "unit_id", "template", "license", "norm").agg(F.sum(F.expr("own * weight")).alias("dot"))
-    scored = dots.join(unit_norm, [*unit, "unit_id"]).select(*unit, "license", F.expr("dot / (norm * unit_norm)").alias("cosine"))
+    headers = [i for i, (_, text) in enumerate(scan.templates) if text in HEADERS.values()]
+    scored = dots.join(unit_norm, [*unit, "unit_id"]).select(
+        *unit, "license", F.expr("dot / (norm * unit_norm)").alias("cosine"), F.col("template").isin(headers).alias("of_header"))
     best = scored.where(f"cosine >= {scan.least_cosine}").groupBy(*unit).agg(
-        F.min(F.struct((-F.round("cosine", 12)).alias("c"), "license", "cosine")).alias("best"))
-    return best.select(*unit, "best.license", "best.cosine")
+        F.min(F.struct((-F.round("cosine", 12)).alias("c"), "license", "cosine", "of_header")).alias("best"))
+    return best.select(*unit, "best.license", "best.cosine", "best.of_header")
 
 
 def directory(path: Column) -> Column:
@@ -255,17 +263,21 @@ def scan_files(files: DataFrame, scan: Scan = Scan()) -> DataFrame:
 
     ``origin`` is ``own`` where a unit of the file names a licence (the best unit counts, of equals the
     first and shortest), ``inherited`` where the nearest directory upwards with a licence file has one, else
-    NULL. A licence file is told by its content: the whole of it is near a template. Two licence files in one directory: the
+    NULL. A licence file is told by its content: the whole of it is near a template; where that is a header, which a file
+    carries for itself, no part of the file is nearer to one. Two licence files in one directory: the
     first path counts. Rows that repeat a path are scanned as one file and each returned; a NULL path
     has no licence. Nothing else is read.
     """
     found = written(licensed_units(files, scan))
+    nearness = (-F.round("cosine", 12)).alias("c")
     own = found.groupBy("path").agg(
-        F.min(F.struct((-F.round("cosine", 12)).alias("c"), "line_no", "n_lines", "license", "cosine")).alias("own"),
-        F.max("is_whole").alias("whole"))
-    own = written(own.select(F.col("path").alias("own_path"), "own.license", "own.cosine", "own.line_no", "own.n_lines", "whole"))
-    whole = found.where("is_whole").groupBy("path").agg(F.min(F.struct((-F.round("cosine", 12)).alias("c"), "license")).alias("best"))
-    declared = whole.select(directory(F.col("path")).alias("dir"), "path", F.col("best.license").alias("license"))
+        F.min(F.struct(nearness, "line_no", "n_lines", "license", "cosine")).alias("own"),
+        F.min(F.when(F.expr("is_whole AND NOT of_header"), F.struct(nearness, "license"))).alias("text"),
+        F.min(F.when(F.expr("is_whole AND of_header"), F.struct(nearness, "license"))).alias("header"))
+    whole = F.least("text", F.when(F.expr("header.c <= own.c"), F.col("header")))
+    own = written(own.select(F.col("path").alias("own_path"), "own.license", "own.cosine", "own.line_no", "own.n_lines",
+                             whole.isNotNull().alias("whole"), whole["license"].alias("states")))
+    declared = own.where("whole").select(directory(F.col("own_path")).alias("dir"), F.col("own_path").alias("path"), F.col("states").alias("license"))
     declared = written(declared.groupBy("dir").agg(F.expr("min_by(license, path)").alias("license")))
     placed = files.select("path", directory(F.col("path")).alias("dir"))
     inherits = written(inherited(placed.where("path IS NOT NULL").select("dir").distinct(), declared)).select(
