@@ -126,6 +126,15 @@ def test_quality_trusts_every_good_document(spark):
         assert [(r.n_target, r.n_raw) for r in counts] == [(20_000, 20_000)]
 
 
+def test_ratios_reach_the_tasks_in_few_rows(spark):
+    """The table that is broadcast has a row per 1,024 cells, with every cell in its place."""
+    few = spark.range(0, 5000, 3).selectExpr("CAST(id AS INT) AS cell", "id / 7 AS ratio", "-id / 9 AS left_out")
+    got = sorted(quality.in_rows(few, 5000).collect())
+    assert [(r.part, len(r.ratios), len(r.left_outs)) for r in got] == [(p, n, n) for p, n in enumerate([1024] * 4 + [904])]
+    assert [x for r in got for x in r.ratios] == [i / 7 if i % 3 == 0 else None for i in range(5000)]
+    assert [x for r in got for x in r.left_outs] == [-i / 9 if i % 3 == 0 else None for i in range(5000)]
+
+
 # ---------------------------------------------------------------- 2 mixing
 
 def test_mix_meets_targets(spark, docs, empty):

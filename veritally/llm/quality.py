@@ -19,6 +19,9 @@ from veritally.llm.common import let, words
 from veritally.session import written
 
 
+#: Cells in one row of the table that each task looks ratios up in.
+CELLS_A_ROW = 1 << 10
+
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio"]
 
 
@@ -120,6 +123,15 @@ def log_ratios(counts: DataFrame, total_target: int, total_raw: int, rules: Qual
         f"ln((greatest(n_target - 1, 0) + {s}D) / ({total_target} + {total}D)) - {raw} AS left_out")
 
 
+def in_rows(ratios: DataFrame, buckets: int) -> DataFrame:
+    """(part, ratios, left_outs): :func:`log_ratios` in arrays of ``CELLS_A_ROW`` cells in order, NULL for cells not met. So a
+    cell takes 16 bytes where the table is broadcast, not the 75 of a row of its own."""
+    cells = ratios.sparkSession.range(buckets).selectExpr("CAST(id AS INT) AS cell").join(ratios, "cell", "left")
+    listed = cells.groupBy(F.expr(f"cell div {CELLS_A_ROW}").cast("int").alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("cell", "ratio", "left_out"))).alias("of"))
+    return listed.selectExpr("part", "of.ratio AS ratios", "of.left_out AS left_outs")
+
+
 def digests(text: Column) -> list[Column]:
     """128 bits that stand for a text beside its id."""
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
@@ -130,11 +142,13 @@ def text_scores(docs: DataFrame, labels: DataFrame, rules: QualityRules) -> tupl
     trusted = trusted_ids(labels)
     counts = written(cell_counts(docs, trusted, rules))
     target, raw = counts.agg(F.sum("n_target"), F.sum("n_raw")).first()
-    ratios = F.broadcast(log_ratios(counts, target or 0, raw or 0, rules))  # buckets rows at most
+    ratios = F.broadcast(in_rows(log_ratios(counts, target or 0, raw or 0, rules), rules.buckets))  # 16 bytes a bucket
     a, b = digests(F.col("text"))
     w = docs.select(F.col("doc_id").alias("__id"), a.alias("__a"), b.alias("__b"), words(F.col("text")).alias("w"))
     w = w.withColumn("n", F.size("w"))
-    met = grams(w, rules.buckets, "__id", "__a", "__b", "n").join(ratios, "cell")
+    met = grams(w, rules.buckets, "__id", "__a", "__b", "n").withColumn("part", F.expr(f"CAST(cell div {CELLS_A_ROW} AS INT)"))
+    met = met.join(ratios, "part").selectExpr(
+        "__id", "__a", "__b", "n", f"ratios[cell % {CELLS_A_ROW}] AS ratio", f"left_outs[cell % {CELLS_A_ROW}] AS left_out")
     scores = written(met.groupBy("__id", "__a", "__b").agg(
         F.avg("ratio").alias("__ratio"), F.avg("left_out").alias("left_out"), F.max("n").alias("n")))
     bar = rules.least_ratio
