@@ -5,6 +5,7 @@ from month import CFG, account, extract, txn
 
 from veritally.config import Runs
 from veritally.operators.copies import keys_again, mark_copies
+from veritally.operators.difference import opened, weighed
 from veritally.plans.deltas import FaultMatrix
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source, write_shared
@@ -59,3 +60,18 @@ def test_shared_tables_change_no_result(raw):
 def test_reasons_counted_per_account_are_those_of_the_quarantine(raw, faults):
     counted = FaultMatrix(raw, CFG, Runs.single(faults)).rejected
     assert as_rows(counted.select("reason", "actual")) == as_rows(Pipeline(raw, CFG, Runs.single(faults)).rejected.select("reason", "actual"))
+
+
+def test_dense_differences_move_only_the_rows_they_open(spark):
+    """One key in fifty weighs otherwise in the second comparison: the others are read and left where they are."""
+    left = spark.range(20000).selectExpr("CAST(id AS STRING) AS k")
+    right = left.selectExpr("k", "CAST(k AS INT) % 50 = 7 AS odd")
+    rows = opened(weighed(left, right, "k", ["1", "1"], ["1", "IF(odd, 0, 1)"]), 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in plan_of(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = {r._key for r in rows.select("_key").distinct().collect()}
+    assert {str(i) for i in range(7, 20000, 50)} <= keys and len(keys) < 500
