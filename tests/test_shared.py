@@ -6,10 +6,11 @@ from month import CFG, account, extract, txn
 from veritally.config import Runs
 from veritally.operators.copies import keys_again, mark_copies
 from veritally.operators.difference import opened, weighed
+from veritally.plans import expectations
 from veritally.plans.deltas import FaultMatrix
 from veritally.plans.pipeline import Pipeline
 from veritally.plans.reconcile import Checks, Source, write_shared
-from veritally.session import written
+from veritally.session import side_by_side, written
 
 ROWS = [
     txn("T1"), txn("T1"), txn("T1", amount="12.00"), txn("T2", account_id="ACC-9"), txn("T2", account_id="ACC-9"), txn("T3", currency="??"),
@@ -75,3 +76,20 @@ def test_dense_differences_move_only_the_rows_they_open(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     keys = {r._key for r in rows.select("_key").distinct().collect()}
     assert {str(i) for i in range(7, 20000, 50)} <= keys and len(keys) < 500
+
+
+def test_an_expectation_looks_at_the_rows_once(raw):
+    """Counts and samples share one pass, and all rows are counted without it."""
+    found = expectations.evaluate(raw, "transactions", CFG)
+    assert plan_of(found).count("Generate explode") == 1
+    by_column = {(r.expectation, r.column): r for r in found.collect()}
+    ids = by_column[expectations.NOT_NULL, "txn_id"]
+    assert (ids.unexpected_count, ids.element_count, ids.sample) == (2, 15, [])
+    again = by_column[expectations.UNIQUE, "txn_id"]
+    assert (again.unexpected_count, again.sample) == (7, ["T1", "T1", "T1"])
+
+
+def test_jobs_side_by_side_keep_their_order_and_raise(spark):
+    assert side_by_side(spark, [lambda i=i: spark.range(i).count() for i in range(6)]) == list(range(6))
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1, lambda: 1 // 0])
