@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import textwrap
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -438,6 +439,37 @@ def test_texts_without_an_id_whose_crc32_collide(spark):
     assert got == {len(given[0][1]): 600, len(given[1][1]): 0}
 
 
+def test_a_group_near_the_bound_is_sorted_in_little_memory():
+    """Beside the text, numbers of four bytes; lists of numbers took 170 bytes for each byte of it."""
+    rng = np.random.default_rng(4)
+
+    def random(n):
+        return rng.integers(97, 123, n).astype(np.uint8).tobytes()
+
+    how, core, before, after = suffix_dedup.Repeats(), random(24), [random(60) for _ in range(9)], [random(150) for _ in range(9)]
+    group = [(1, k, 80, random(20) + before[rng.integers(9)] + core + after[rng.integers(9)]) for k in range(400)]
+    size = sum(len(c) for *_, c in group)
+    tracemalloc.start()
+    got = suffix_dedup.repeated_windows(group, how)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * size
+    seen = collections.Counter(c[i:i + 200] for *_, c in group for i in range(len(c) - 199))
+    want = {(k, 80 + i) for _, k, _, c in group for i in range(len(c) - 199) if seen[c[i:i + 200]] > 1}
+    assert want and {(k, i) for _, k, x, y in got for i in range(x, y)} == want and len(got) == len({(k, x) for _, k, x, _ in got})
+
+
+def test_segments_of_a_very_common_hash_can_be_split(spark):
+    """Both sides of the join are plain shuffles, so that Spark splits a hot hash; a count on one side kept it in one task."""
+    prepare(spark)
+    segs = spark.range(300).selectExpr("id AS doc_id", "id AS crc", "if(id % 3 > 0, 7, id) AS v", "id AS digest", "id AS a", "1 AS n", "2 AS g")
+    shared = suffix_dedup.shared_segments(segs)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan
+    assert sorted(r.doc_id for r in shared.collect()) == [i for i in range(300) if i % 3]
+    assert set(shared.columns) == set(segs.columns)
+
+
 # ---------------------------------------------------------------- 9 licences
 
 def test_licences_and_inheritance(spark):

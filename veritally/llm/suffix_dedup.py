@@ -14,6 +14,7 @@ is pointed to leaves its group upwards. A last pass places the suffixes of each
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,22 +39,30 @@ class Repeats:
 
 # ---------------------------------------------------------------- suffix sorting
 
+def _numbers(values: np.ndarray) -> array:
+    """Four bytes each, where a list takes up to forty."""
+    return array("i", values.astype(np.int32).tobytes())
+
+
 def suffix_array(text: list[int] | bytes) -> list[int]:
     """Starts of all suffixes in order; a suffix that is a beginning of another comes first."""
+    return _suffixes(text).tolist()
+
+
+def _suffixes(text: list[int] | bytes) -> array:
     n = len(text)
     if n == 0:
-        return []
+        return array("i")
     # Groups are ranges of ``order``; ``first[i]`` is where the group of suffix i begins.
-    order = np.argsort(np.frombuffer(bytes(text), np.uint8), kind="stable").tolist() if isinstance(text, bytes) else sorted(
-        range(n), key=text.__getitem__)
-    place, first, size = [0] * n, [0] * n, [0] * n
-    start = 0
-    for k, i in enumerate(order):
-        if k and text[i] != text[order[k - 1]]:
-            start = k
-        place[i], first[i] = k, start
-        size[start] += 1
-    lower = [-1] * n  # nearest suffix before it in a lower group
+    letters = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else np.array(text)
+    by_letter = np.argsort(letters, kind="stable")
+    ordered = letters[by_letter]
+    starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+    lengths = np.diff(starts, append=n)
+    sizes, places, firsts = np.zeros(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int32)
+    sizes[starts], places[by_letter], firsts[by_letter] = lengths, np.arange(n), np.repeat(starts, lengths)
+    order, place, first, size = (_numbers(x) for x in (by_letter, places, firsts, sizes))
+    lower = _numbers(np.full(n, -1))  # nearest suffix before it in a lower group
     end = n - 1
     while end >= 0:
         start = first[order[end]]
@@ -68,8 +77,7 @@ def suffix_array(text: list[int] | bytes) -> list[int]:
             if p >= 0:
                 count[p] = 1
         else:
-            group.sort()
-            for i in group:  # from left to right, so a pointer inside the group is known already
+            for i in sorted(group):  # from left to right, so a pointer inside the group is known already
                 p = i - 1
                 while p >= 0 and place[p] >= start:
                     p = lower[p]
@@ -105,7 +113,7 @@ def suffix_array(text: list[int] | bytes) -> list[int]:
                     first[p] = g + size[g]
         end = start - 1
     # Within its group a suffix stands as the one after its Lyndon prefix does.
-    result, done = [0] * n, [False] * n
+    result, done = _numbers(np.zeros(n)), bytearray(n)
     filled: dict[int, int] = {}
     k, i = 0, n  # the empty suffix is the least of all
     while True:
@@ -115,7 +123,7 @@ def suffix_array(text: list[int] | bytes) -> list[int]:
             at = filled.get(g, g)
             result[at] = j
             filled[g] = at + 1
-            done[j] = True
+            done[j] = 1
             j = lower[j]
         if k == n:
             return result
@@ -235,28 +243,35 @@ FOUND = "v long, digest long, x int, y int"
 def repeated_windows(held: list[tuple[int, int, int, bytes]], how: Repeats) -> list[tuple[int, int, int, int]]:
     """(v, digest, x, y): windows x..y-1 of a content that equal a window of another; what is held of
     a content begins at its byte ``shift``."""
+    if not held:
+        return []
     text = b"\0".join(c for *_, c in held)
-    owner, offset = [], []
-    for k, (_, _, shift, c) in enumerate(held):
-        owner += [k] * (len(c) - how.length + 1) + [-1] * how.length
-        offset += range(shift, shift + len(c) - how.length + 1)
-        offset += [0] * how.length
-    marks: dict[int, list[int]] = {}
-    before, last, size = None, -1, how.length
-    for i in suffix_array(text):
-        if owner[i] < 0:
-            continue
-        window = text[i:i + size]
-        if window == before:
-            marks.setdefault(owner[i], []).append(offset[i])
-            marks.setdefault(owner[last], []).append(offset[last])
-        before, last = window, i
-    out = []
-    for k, places in marks.items():
-        places = np.unique(places)
-        cuts = np.flatnonzero(np.diff(places) > 1) + 1
-        for run in np.split(places, cuts):
-            out.append((held[k][0], held[k][1], int(run[0]), int(run[-1]) + 1))
+    lengths = np.array([len(c) for *_, c in held])
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    begins = np.zeros(len(text) + 1, bool)  # where a window of one content begins
+    for a, n in zip(starts.tolist(), lengths.tolist()):
+        begins[a:a + max(n - how.length + 1, 0)] = True
+    order = np.frombuffer(_suffixes(text), np.int32)
+    at = order[begins[order]]
+    same = _same_as_next(text, at, how.length)
+    places = np.unique(np.concatenate([at[:-1][same], at[1:][same]]))
+    if not len(places):
+        return []
+    cuts = np.flatnonzero(np.diff(places) > 1) + 1  # contents stand farther apart
+    x, y = places[np.concatenate([[0], cuts])], places[np.concatenate([cuts - 1, [-1]])] + 1
+    owner = np.searchsorted(starts, x, side="right") - 1
+    return [(held[k][0], held[k][1], held[k][2] + i, held[k][2] + j)
+            for k, i, j in zip(owner.tolist(), (x - starts[owner]).tolist(), (y - starts[owner]).tolist())]
+
+
+def _same_as_next(text: bytes, at: np.ndarray, size: int) -> np.ndarray:
+    """Which of the windows that begin at these bytes equal the one after them."""
+    out = np.zeros(max(len(at) - 1, 0), bool)
+    if len(out):
+        windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), size)
+        for k in range(0, len(out), 4096):
+            some = windows[at[k:k + 4097]]
+            out[k:k + 4096] = (some[1:] == some[:-1]).all(axis=1)
     return out
 
 
@@ -340,11 +355,16 @@ def count_windows(texts: DataFrame, how: Repeats) -> DataFrame:
 
 # ---------------------------------------------------------------- the job
 
+def shared_segments(segs: DataFrame) -> DataFrame:
+    """Segments whose hash occurs twice or more. These hashes are written first: read from files, both sides of the
+    join are plain shuffles, and Spark splits the rows of a very common hash over many tasks."""
+    twice = written(segs.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v"))
+    return segs.join(twice.hint("merge"), "v")
+
+
 def repeated_spans(docs: DataFrame, how: Repeats) -> DataFrame:
     """(doc_id, crc, s, e): bytes s..e-1 of a text lie in windows that also start elsewhere."""
-    segs = written(segment_rows(docs, how))
-    twice = segs.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
-    shared = written(segs.join(twice.hint("merge"), "v"))
+    shared = written(shared_segments(written(segment_rows(docs, how))))
     kinds = written(shared.groupBy("v", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "a", "n", "g")).alias("one")))
     groups = kinds.groupBy("v").agg(F.count("*").alias("kinds"), F.sum(F.col("one.n") + how.length - 1).alias("bytes"))
