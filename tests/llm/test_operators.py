@@ -369,6 +369,49 @@ def test_tokens_learn_pieces_without_the_library_splitting_them_again(rows):
     assert not any(map(token_shards.is_usual, ("a<|b", "x\x1cy", "a\x7f", "\u0130", "a×b", "a\xa0b")))
 
 
+def test_pieces_are_split_as_the_vocabulary_does():
+    piece = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[^\sa-zß-öø-ÿ0-9]+|[0-9]")
+    rng = np.random.default_rng(8)
+    alphabets = ("'strevlmdx", "'S l\n1-", "aÀÿß'!09 \t\r\n", bytes(token_shards.USUAL).decode("latin-1"))
+    for k in range(2000):
+        text = "".join(rng.choice(list(alphabets[k % 4]), rng.integers(0, 40)))
+        data = text.encode("latin-1").translate(token_shards.LOWER) + b"\n" * 16
+        starts, lengths = token_shards.split(data)
+        assert [data[a:a + n].decode("latin-1") for a, n in zip(starts, lengths)] == piece.findall(text.lower()), text
+
+
+def test_numbers_of_known_pieces():
+    rng, known, held = np.random.default_rng(9), token_shards.Known(2), {}
+    for _ in range(12):
+        pairs = rng.integers(0, 60, (200, 2)).astype(np.uint64) << np.uint64(50)  # few places for many
+        found = known.find(pairs[:, 0], pairs[:, 1]).tolist()
+        assert found == [held.get((a, b), -1) for a, b in pairs.tolist()]
+        new = list({(a, b) for a, b in pairs.tolist() if (a, b) not in held})
+        numbers = np.arange(len(held), len(held) + len(new))
+        known.add(*np.array(new, np.uint64).reshape(-1, 2).T.copy(), numbers)
+        held |= zip(new, numbers.tolist())
+    assert known.n == len(held) and len(known.number) >= 2 * known.n
+
+
+def test_pieces_met_before_are_looked_up_together():
+    """Only pieces that are new or longer than 16 bytes are looked up one by one."""
+    class Counting(token_shards._Places):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    tokens = token_shards.Tokens(word_pieces().tokenizer)
+    tokens.places = Counting()
+    text = "It's a river of often seen words, 3 hills and one counterrevolutionaries; " * 50
+    once = tokens.encode([text])
+    assert Counting.asked == 14 + 50 and len(tokens.places) == 15
+    twice = tokens.encode([text, "", "unseen"])
+    assert Counting.asked == 14 + 50 + 50 + 1
+    assert twice[0].tolist()[:len(once[0])] == once[0].tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_met_again_are_kept_when_the_others_are_forgotten(monkeypatch):
     monkeypatch.setattr(token_shards, "MOST_CACHED", 40)
     tokens = token_shards.Tokens(word_pieces().tokenizer)
